@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters handled at once by the array code; a longer text is a slice of its own, whole.
 SLICE_CHARS = 1 << 19
@@ -15,7 +16,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_CHA
     """Cut batches so that the array code holds about ``most`` characters at a time; no row is cut or left out."""
     for batch in batches:
         lengths = batch.column(column)
-        lengths = pa.compute.binary_length(lengths).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(lengths).fill_null(0).to_numpy(zero_copy_only=False)
         total = np.cumsum(lengths, dtype=np.int64)
         start = 0
         while start < batch.num_rows:
