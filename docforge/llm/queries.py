@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docforge.io import table
-from docforge.llm import repetition, tokens
+from docforge.llm import repetition, site_lines, tokens
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return site_lines.repeated_lines(table(spark, d, "document_records"))
+
+
+def p3_clean(spark: SparkSession, d: str) -> DataFrame:
+    records = table(spark, d, "document_records")
+    return site_lines.without_lines(records, site_lines.repeated_lines(records))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -23,7 +32,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p3_found, p3_clean, p8_ids, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
