@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docforge.io import table
+from docforge.operators import timestamps
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return timestamps.published_instants(table(spark, d, "remote_entries"), table(spark, d, "parsed_documents"), table(spark, d, "source_time_rules"))
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in (p6_found,)}
 
 
 def oracle_sql() -> dict[str, str]:
