@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docforge.io import table
-from docforge.llm import repetition, site_lines, tokens
+from docforge.llm import garbled, repetition, site_lines, tokens
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +20,16 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
     return site_lines.without_lines(records, site_lines.repeated_lines(records))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    raw = garbled.garbled_pages(table(spark, d, "raw_documents")).select(F.lit("raw").alias("kind"), F.col("raw_id").cast("string").alias("row_key"))
+    records = garbled.garbled_records(table(spark, d, "document_records")).select(F.lit("record").alias("kind"), F.col("doc_id").alias("row_key"))
+    return raw.unionByName(records)
+
+
+def p4_restored(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.restored_records(table(spark, d, "document_records"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(table(spark, d, "documents"))
 
@@ -32,7 +43,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_clean, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p3_found, p3_clean, p4_found, p4_restored, p8_ids, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
