@@ -130,6 +130,8 @@ def garbled(texts: list[str | None]) -> np.ndarray:
 
 def restore(text: str) -> str:
     """The text with its spans decoded, by the code page that explains most characters in each pass."""
+    if re.search("[À-ÖØ-öø-ÿ]{3}", text):
+        text = re.sub("[À-ÿ]{2,}|(?<![A-Za-z])[À-ÿ](?![A-Za-z])", _cyrillic, text)
     for _ in range(PASSES):
         cp = codepoints(text)
         best, most = None, 0
@@ -150,8 +152,6 @@ def restore(text: str) -> str:
     text = re.sub("[\x80-\x9f]", lambda m: m[0].encode("latin-1").decode("cp1252", "ignore") or m[0], text)
     if re.search("[а-яё][А-ЯЁ]", text):
         text = re.sub("[Ѐ-ӿ]+", _swapped, text)
-    if re.search("[À-ÿ]{3}", text):
-        text = re.sub("[À-ÿ]{2,}|(?<![A-Za-z])[À-ÿ](?![A-Za-z])", _cyrillic, text)
     return text
 
 

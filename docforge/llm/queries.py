@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.io import table
-from docforge.llm import garbled, repetition, site_lines, tokens
+from docforge.llm import garbled, languages, repetition, site_lines, tokens
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -30,6 +30,14 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restored_records(table(spark, d, "document_records"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return languages.wrong_labels(p7_languages(spark, d))
+
+
+def p7_languages(spark: SparkSession, d: str) -> DataFrame:
+    return languages.languages(table(spark, d, "document_records"), languages.fit(table(spark, d, "language_samples")))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(table(spark, d, "documents"))
 
@@ -43,7 +51,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_clean, p4_found, p4_restored, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p3_found, p3_clean, p4_found, p4_restored, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
