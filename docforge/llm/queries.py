@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.io import table
-from docforge.llm import garbled, languages, repetition, site_lines, tokens
+from docforge.llm import garbled, history, languages, repetition, site_lines, tokens
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return history.near_duplicates(table(spark, d, "document_records"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -51,7 +55,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_clean, p4_found, p4_restored, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p2_found, p3_found, p3_clean, p4_found, p4_restored, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
