@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.io import table
-from docforge.llm import garbled, history, languages, repetition, site_lines, tokens
+from docforge.llm import garbled, history, languages, repetition, scans, site_lines, tokens
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -34,6 +34,14 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restored_records(table(spark, d, "document_records"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.faults(table(spark, d, "parsed_documents"))
+
+
+def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repaired(table(spark, d, "parsed_documents"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return languages.wrong_labels(p7_languages(spark, d))
 
@@ -55,7 +63,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p3_found, p3_clean, p4_found, p4_restored, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p2_found, p3_found, p3_clean, p4_found, p4_restored, p5_found, p5_repaired, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
