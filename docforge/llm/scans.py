@@ -113,16 +113,13 @@ def read_page(text: str) -> list[tuple[int, str, str, str, int]]:
         s = lines[j].strip()
         return kind[j] == "text" and s[0].isupper() and s[-1] not in ".,;:" and not broken(s)
 
-    keys = {j: header_key(lines[j]) for j in range(len(lines)) if kind[j] == "text" and apart(j)}
-    often = Counter(keys.values())
-    near = set()
-    for j, key in keys.items():
+    beside = lambda j: j == len(lines) - 1 or any(kind[i] in ("number", "header") for i in (j - 1, j + 1) if 0 <= i < len(lines))
+    near = {j: header_key(lines[j]) for j in range(len(lines)) if kind[j] == "text" and beside(j) and apart(j)}
+    often = Counter(near.values())
+    for j, key in near.items():
         if often[key] > 1:
             kind[j] = "header"
-    for j, key in keys.items():
-        beside = [kind[i] for i in (j - 1, j + 1) if 0 <= i < len(lines)]
-        if kind[j] == "text" and ("number" in beside or "header" in beside or j == len(lines) - 1):
-            near.add(j)
+        else:
             out.append((j + 1, "near", key, "", 0))
     for i, k in enumerate(kind):
         if k in ("number", "header"):
