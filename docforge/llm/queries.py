@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.io import table
-from docforge.llm import garbled, history, languages, repetition, scans, site_lines, tokens
+from docforge.llm import garbled, history, languages, page_body, repetition, scans, site_lines, tokens
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return page_body.boilerplate_lines(table(spark, d, "parsed_documents"), table(spark, d, "raw_documents"))
+
+
+def p1_body(spark: SparkSession, d: str) -> DataFrame:
+    return page_body.main_bodies(table(spark, d, "parsed_documents"), table(spark, d, "raw_documents"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -63,7 +71,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p3_found, p3_clean, p4_found, p4_restored, p5_found, p5_repaired, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_body, p2_found, p3_found, p3_clean, p4_found, p4_restored, p5_found, p5_repaired, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:

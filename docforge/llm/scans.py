@@ -35,10 +35,10 @@ LEAST_DOCUMENTS = 5
 _LIGATURES = str.maketrans({"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl"})
 # Glyphs that are alike go to the same string, wide ones to the pair they are taken for.
 _ALIKE = str.maketrans({"1": "i", "|": "i", "!": "i", "l": "i", "0": "o", "5": "s", "@": "a", "9": "q", "g": "q", "m": "rri", "n": "ri", "u": "ri", "w": "vv", "d": "ci", "h": "ii", "b": "ii", "6": "ii", "e": "c", "f": "t"})
+_BREAKS = frozenset("-\xad¬‐")
 _STRIP = ".,;:()“”„\"«»?¿¡…—–-‐¬\xad•[]‘’'/%§€₹£$\x0c"
-_PIECES = re.compile(r"\s+|(?<=\w)[–—/’'](?=\w)")
+_PIECES = re.compile(r"(?<=\w)[–—/’'](?=\w)")
 _LETTER = re.compile(r"[^\W\d_]")
-_MARKS = re.compile(r"[^\W_][-­¬‐]$")
 _NUMBER = re.compile(r"^\W*(?:(?:p\.|pp\.|page|seite|s\.|pág(?:ina)?\.?|pagina|pag\.|стр\.|страница|पृष्ठ)\s*)?(?:[\dOolI]{1,5}|[ivxlc1]{1,9})(?:\s*(?:of|/|von|de|di|sur|из)\s*\d+)?\W*$", re.I)
 _BAR = re.compile(r"^\d{1,5} \| \S|\S \| \d{1,5}$")
 _GAP = re.compile(r"\S {3,}\S")
@@ -60,10 +60,27 @@ def one_confusion(word: str, right: str) -> int:
     return -1
 
 
+#: Words of the tokens seen last; the table starts anew when it is full.
+_TOKENS: dict[str, list[str]] = {}
+_MOST_TOKENS = 200_000
+
+
 def words(line: str) -> list[str]:
     """The words of a line in lower case without surrounding punctuation, hyphenated ones whole and in parts."""
     out = []
-    for t in _PIECES.split(line):
+    for token in line.split():
+        found = _TOKENS.get(token)
+        if found is None:
+            if len(_TOKENS) >= _MOST_TOKENS:
+                _TOKENS.clear()
+            found = _TOKENS[token] = _token_words(token)
+        out += found
+    return out
+
+
+def _token_words(token: str) -> list[str]:
+    out = []
+    for t in _PIECES.split(token):
         t = t.strip(_STRIP).lower()
         if len(t) > 1 and _LETTER.search(t):
             out.append(t)
@@ -73,7 +90,8 @@ def words(line: str) -> list[str]:
 
 
 def broken(line: str) -> bool:
-    return _MARKS.search(line.rstrip()) is not None and _LETTER.search(line.rstrip()[-2]) is not None
+    end = line.rstrip()[-2:]
+    return end[1:] in _BREAKS and _LETTER.match(end) is not None
 
 
 def shape(line: str) -> str:
@@ -167,13 +185,10 @@ def vocabulary(docs: DataFrame, text_col: str = "body_text") -> DataFrame:
             for text in part.column("t").to_pylist():
                 cut = False
                 for line in text.split("\n"):
-                    found = line.split()
-                    if cut and found:
-                        found = found[1:]
-                    cut = broken(line)
-                    if cut:
-                        found = found[:-1]
-                    count.update(words(" ".join(found)))
+                    again, cut = cut, line[-3:].rstrip()[-1:] in _BREAKS and broken(line)
+                    if again or cut:
+                        line = " ".join(line.split()[int(again) : -1 if cut else None])
+                    count.update(words(line))
             keys = list(count)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([skeleton(w) for w in keys], pa.string()), pa.array([count[w] for w in keys], pa.int64())], ["word", "skeleton", "n"])
 
