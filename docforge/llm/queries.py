@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.io import table
-from docforge.llm import garbled, history, languages, page_body, repetition, scans, site_lines, tokens
+from docforge.llm import garbled, history, languages, packing, page_body, repetition, scans, site_lines, tokens
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -62,6 +62,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(table(spark, d, "documents"))
 
 
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(table(spark, d, "documents"), table(spark, d, "container_specs"))
+
+
+def p9_usage(spark: SparkSession, d: str) -> DataFrame:
+    return packing.usage(p9_fill(spark, d), table(spark, d, "container_specs"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repeated_texts(table(spark, d, "documents"))
 
@@ -71,7 +79,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_body, p2_found, p3_found, p3_clean, p4_found, p4_restored, p5_found, p5_repaired, p7_found, p7_languages, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_body, p2_found, p3_found, p3_clean, p4_found, p4_restored, p5_found, p5_repaired, p7_found, p7_languages, p8_ids, p9_fill, p9_usage, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
