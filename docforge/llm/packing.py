@@ -22,6 +22,8 @@ from docforge.llm.tokens import TOKENIZER_DIR, token_counts
 
 #: Items of one block, about: enough small ones to fill gaps, little enough for one task.
 BLOCK_ITEMS = 20_000
+#: Specifications are sent to all tasks; more than this are refused.
+MOST_SPECS = 10_000
 #: A container holds at most so many items (segments) if the specification names no limit.
 MOST_SEGMENTS = 1 << 30
 
@@ -85,7 +87,7 @@ def pieces(sizes: DataFrame, specs: DataFrame, id_col: str) -> DataFrame:
     names = [c[2:] for c in sizes.columns if c.startswith("n_")]
     long = sizes.select(F.col(id_col).alias("k"), F.explode(F.create_map(*(x for n in names for x in (F.lit(n), F.col(f"n_{n}"))))).alias("tokenizer", "n"))
     cap = F.col("capacity_tokens")
-    x = long.join(F.broadcast(specs.select("spec_id", "tokenizer", "capacity_tokens").limit(10_000)), "tokenizer")
+    x = long.join(F.broadcast(specs.select("spec_id", "tokenizer", "capacity_tokens")), "tokenizer")
     count = F.greatest(F.lit(1), F.ceil(F.col("n") / cap)).cast("int")
     x = x.select("spec_id", cap.alias("capacity"), "k", "n", F.explode(F.sequence(F.lit(0), count - 1)).alias("piece_no"))
     return x.select("spec_id", "capacity", "k", "piece_no", F.least(F.col("capacity").cast("bigint"), F.col("n") - F.col("piece_no") * F.col("capacity")).alias("tokens"))
@@ -98,7 +100,9 @@ def fill(docs: DataFrame, specs: DataFrame, id_col: str = "doc_id", text_col: st
     are placed, too; repeated rows are placed each; other columns are left out; no documents or no
     specifications give an empty result.
     """
-    names = sorted({r[0] for r in specs.select("tokenizer").distinct().limit(100).collect()})
+    if specs.count() > MOST_SPECS:
+        raise ValueError(f"more than {MOST_SPECS} container specifications")
+    names = sorted({r[0] for r in specs.select("tokenizer").distinct().collect()})
     kind = docs.schema[id_col].dataType.simpleString()
     if not names:
         return docs.sparkSession.createDataFrame([], f"spec_id int, `{id_col}` {kind}, piece_no int, tokens bigint, container string")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docforge.functions.text import SPACE
 from docforge.io import table
 from docforge.llm import garbled, history, languages, packing, page_body, repetition, scans, site_lines, tokens
 
@@ -82,5 +83,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_body, p2_found, p3_found, p3_clean, p4_found, p4_restored, p5_found, p5_repaired, p7_found, p7_languages, p8_ids, p9_fill, p9_usage, p10_found, p10_share)}
 
 
+_WS = SPACE
+SQL = {
+    "p3_found": """WITH r AS (SELECT DISTINCT source_id, doc_id, clean_text FROM document_records WHERE clean_text IS NOT NULL AND source_id IS NOT NULL),
+l AS (SELECT source_id, doc_id, i::INT AS line_no, regexp_replace(lower(x[i]), '[^\\p{L}\\p{M}]+', '', 'g') AS k FROM (SELECT *, string_split(clean_text, chr(10)) AS x FROM r), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i)),
+m AS (SELECT source_id, k FROM l WHERE k <> '' GROUP BY source_id, k HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, line_no FROM l JOIN m USING (source_id, k)""",
+    "p10_found": f"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[\\p{{P}}\\p{{Nd}}\\p{{Cf}}]+', '', 'g'), '{_WS}'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, len(w) AS n, i, array_to_string(w[i:i + 9], ' ') AS run FROM t, LATERAL (SELECT unnest(range(1, len(w) - 8)) AS i) WHERE len(w) >= 10),
+a AS (SELECT doc_id, n, i, min(i) OVER (PARTITION BY doc_id, run) AS f FROM r),
+c AS (SELECT doc_id, n, count(DISTINCT i + k) AS rep FROM a, range(10) t(k) WHERE i > f GROUP BY doc_id, n)
+SELECT doc_id FROM c WHERE rep >= 0.3 * n""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Queries without SQL are tested against brute force, a reference tokenizer or an exact round trip."""
+    return dict(SQL)
