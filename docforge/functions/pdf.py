@@ -19,7 +19,7 @@ FIRST_PAGE_CHARS = 5000
 _OBJECT = re.compile(rb"(\d+)\s+\d+\s+obj\b(.*?)\bendobj", re.S)
 _STREAM = re.compile(rb"stream\r?\n(.*?)\r?\n?endstream", re.S)
 _REF = re.compile(rb"(\d+)\s+\d+\s+R")
-_SHOW = re.compile(rb"\[((?:\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|[^\[\]()<>])*)\]\s*TJ|(\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>)\s*(?:Tj|'|\")|(T\*|Td|TD|ET)\b", re.S)
+_SHOW = re.compile(rb"\[((?:\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|[^\[\]()<>])*)\]\s*TJ|(\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>)\s*(?:Tj|'|\")|(T\*|(?:Td|TD|ET)\b)", re.S)
 _STRING = re.compile(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>", re.S)
 _ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
 

@@ -90,7 +90,7 @@ def zone_intervals(zone: str, first: int = FIRST_YEAR, last: int = LAST_YEAR) ->
 
 
 def interval_table(spark: SparkSession, zones: list[str]) -> DataFrame:
-    """One row for each zone and local year: ``zone_name``, ``local_year``, ``stretches`` array<struct<a, b, shift, abbr>>."""
+    """One row for each zone and local year: ``__zone``, ``__year``, ``__stretches`` array<struct<a, b, shift, abbr>>."""
     rows = []
     for zone in zones:
         try:
@@ -104,7 +104,7 @@ def interval_table(spark: SparkSession, zones: list[str]) -> DataFrame:
             while k < len(parts) and parts[k][1] <= start - 86400:
                 k += 1
             rows.append((zone, year, [p for p in parts[k : k + 12] if p[0] < end and p[1] > start]))
-    kind = "zone_name string, local_year int, stretches array<struct<a: bigint, b: bigint, shift: int, abbr: string>>"
+    kind = "__zone string, __year int, __stretches array<struct<a: bigint, b: bigint, shift: int, abbr: string>>"
     return spark.createDataFrame(rows, kind)
 
 
@@ -172,9 +172,9 @@ def place(df: DataFrame, table: DataFrame, value_col: str, zone_col: str, order_
     digits = F.regexp_replace(zone, "[^0-9]", "")
     given = F.when(zone.isin("z", "utc", "gmt", "ut"), 0).when(zone.rlike(r"^[+-]\d{2}:?(\d{2})?$"), sign * (F.substring(digits, 1, 2).cast("int") * 3600 + F.coalesce(F.nullif(F.substring(digits, 3, 2), F.lit("")).cast("int"), F.lit(0)) * 60))
     x = x.withColumn("__u", unix).withColumn("__g", given)
-    j = x.join(F.broadcast(table), (F.col(zone_col) == F.col("zone_name")) & (F.col("__ly") == F.col("local_year")), "left")
-    named = F.array_distinct(F.transform(F.filter("stretches", lambda s: F.lower(s["abbr"]) == F.col("__z")), lambda s: s["shift"]))
-    here = F.filter("stretches", lambda s: (F.col("__l") >= s["a"]) & (F.col("__l") < s["b"]))
+    j = x.join(F.broadcast(table), (F.col(zone_col) == F.col("__zone")) & (F.col("__ly") == F.col("__year")), "left")
+    named = F.array_distinct(F.transform(F.filter("__stretches", lambda s: F.lower(s["abbr"]) == F.col("__z")), lambda s: s["shift"]))
+    here = F.filter("__stretches", lambda s: (F.col("__l") >= s["a"]) & (F.col("__l") < s["b"]))
     j = j.withColumn("__n", named).withColumn("__w", here)
     readable = F.col("__l").isNotNull()
     bare = readable & (F.coalesce(F.col("__z"), F.lit("")) == "")
@@ -187,7 +187,7 @@ def place(df: DataFrame, table: DataFrame, value_col: str, zone_col: str, order_
     j = j.withColumn("__r", instant)
     why = (
         F.when(F.col("__r").isNotNull(), "ok")
-        .when(bare & F.col("stretches").isNull(), "no_zone")
+        .when(bare & F.col("__stretches").isNull(), "no_zone")
         .when(bare & (F.size("__w") > 1), "ambiguous")
         .when(bare & (F.size("__w") == 0), "nonexistent")
         .otherwise("unreadable")
