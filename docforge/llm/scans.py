@@ -27,14 +27,14 @@ CONFUSIONS = (("l", "1"), ("i", "1"), ("o", "0"), ("s", "5"), ("a", "@"), ("e",
 SUPPORT = 10
 RARE = 2
 RARE_SHARE = 0.01
-#: The most frequent words, which are never misread forms, are not sent through the join.
+#: So many of the words too frequent to be misread forms are not sent through the join (the result is the same without).
 TOP_WORDS = 1000
 #: A line next to page numbers is furniture if its like stands there in so many documents.
 LEAST_DOCUMENTS = 5
 
 _LIGATURES = str.maketrans({"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl"})
-# Glyphs that are alike go to the same string, wide ones to the pair they are taken for.
-_ALIKE = str.maketrans({"1": "i", "|": "i", "!": "i", "l": "i", "0": "o", "5": "s", "@": "a", "9": "q", "g": "q", "m": "rri", "n": "ri", "u": "ri", "w": "vv", "d": "ci", "h": "ii", "b": "ii", "6": "ii", "e": "c", "f": "t"})
+# Glyphs that are alike go to the same strokes.
+_ALIKE = str.maketrans({"1": "i", "|": "i", "!": "i", "l": "i", "r": "i", "0": "o", "5": "s", "@": "a", "9": "q", "g": "q", "m": "iii", "n": "ii", "u": "ii", "w": "vv", "d": "ci", "h": "ii", "b": "ii", "6": "ii", "e": "c", "f": "t"})
 _BREAKS = frozenset("-\xad¬‐")
 _STRIP = ".,;:()“”„\"«»?¿¡…—–-‐¬\xad•[]‘’'/%§€₹£$\x0c"
 _PIECES = re.compile(r"(?<=\w)[–—/’'](?=\w)")
@@ -46,7 +46,7 @@ _FIGURES = re.compile(r"^[\d.,%+()$€₹£ \t-]+$")
 
 
 def skeleton(word: str) -> str:
-    return word.lower().translate(_LIGATURES).replace("ii", "u").translate(_ALIKE)
+    return word.lower().translate(_LIGATURES).translate(_ALIKE)
 
 
 def one_confusion(word: str, right: str) -> int:
@@ -198,17 +198,18 @@ def vocabulary(docs: DataFrame, text_col: str = "body_text") -> DataFrame:
 
 def misread(vocab: DataFrame) -> DataFrame:
     """(word, right, place) of forms that stand for a frequent one."""
-    best = vocab.groupBy("skeleton").agg(F.max_by("word", F.struct("n", "word")).alias("right"), F.max("n").alias("most")).where(F.col("most") >= SUPPORT)
-    pairs = vocab.join(best, "skeleton").where((F.col("word") != F.col("right")) & (F.col("n") <= RARE + F.col("most") * RARE_SHARE)).select("word", "right")
+    used = vocab.where(F.col("n") >= SUPPORT).select("skeleton", F.col("word").alias("right"), F.col("n").alias("most"))
+    pairs = vocab.join(used, "skeleton").where((F.col("word") != F.col("right")) & (F.col("n") <= RARE + F.col("most") * RARE_SHARE)).select("word", "right", "most")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             w, r = b.column("word").to_pylist(), b.column("right").to_pylist()
             at = [one_confusion(x, y) for x, y in zip(w, r)]
             keep = [i for i, k in enumerate(at) if k >= 0]
-            yield pa.RecordBatch.from_arrays([pa.array([w[i] for i in keep], pa.string()), pa.array([r[i] for i in keep], pa.string()), pa.array([at[i] for i in keep], pa.int32())], ["word", "right", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array([w[i] for i in keep], pa.string()), pa.array([r[i] for i in keep], pa.string()), b.column("most").take(pa.array(keep, pa.int64())), pa.array([at[i] for i in keep], pa.int32())], ["word", "right", "most", "place"])
 
-    return pairs.mapInArrow(run, "word string, right string, place int")
+    near = pairs.mapInArrow(run, "word string, right string, most bigint, place int")
+    return near.groupBy("word").agg(F.max_by(F.struct("right", "place"), F.struct("most", "right")).alias("x")).select("word", "x.right", "x.place")
 
 
 def signs(docs: DataFrame, id_col: str, text_col: str, top: set[str]) -> DataFrame:
@@ -240,7 +241,8 @@ def faults(docs: DataFrame, id_col: str = "doc_id", text_col: str = "body_text",
 
 def _faults(docs: DataFrame, id_col: str, text_col: str, url_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     vocab = materialise(vocabulary(docs, text_col), "vocabulary")
-    top = {r[0] for r in vocab.orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word").collect()}
+    most = vocab.agg(F.max("n")).first()[0] or 0
+    top = {r[0] for r in vocab.where(F.col("n") > RARE + most * RARE_SHARE).orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word").collect()}
     seen = materialise(signs(docs.where(paged(F.col(url_col))), id_col, text_col, top), "signs")
     wrong = materialise(misread(vocab), "misread")
     near = seen.where("kind = 'near'").select("k", "line_no", "key")
