@@ -14,15 +14,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
+def application_dir(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``.
 
     Only where the session names no such folder (tests, local runs) a temporary one is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file://" + os.path.join(tempfile.gettempdir(), "docforge-shared")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/docforge-{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder for one table or checkpoint."""
+    return f"{application_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; results not yet read are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
