@@ -235,11 +235,14 @@ def raw_doc_id(url: Column, fetched_at: Column) -> Column:
 
 
 def line_counts(pages: DataFrame) -> DataFrame:
-    """(k, n, alike): for each page the number of pages of its site, and a map from key to pages for its lines that others have, too.
+    """(k, n, alike): for each page the number of pages of its site, and a map from key to pages for its lines that others of
+    the site have, too, and for its leads that pages of any site have.
 
     ``pages`` has k, site, keys and leads, each page once.
     """
-    each = pages.select("k", "site", F.explode(F.array_distinct(F.array_compact(F.concat("keys", "leads")))).alias("key"))
+    own = pages.select("k", "site", F.explode(F.array_distinct(F.array_compact("keys"))).alias("key"))
+    lead = pages.select("k", F.lit("*").alias("site"), F.explode(F.array_distinct(F.array_compact("leads"))).alias("key"))  # alike on all sites
+    each = own.unionByName(lead)
     many = each.groupBy("site", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= COMMON_PAGES)
     sizes = pages.groupBy("site").agg(F.count("*").alias("n"))
     alike = each.join(many, ["site", "key"]).groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("key", "pages"))).alias("alike"))
