@@ -46,18 +46,29 @@ def _one_of(words: list[str]):
     return lambda w: w.isin(words)
 
 
-def scores(text: Column) -> Column:
+def scores(text: Column, order: tuple[str, ...] = ORDER) -> Column:
     """Array of (language, score) in order of preference: function words, or characters of the script."""
-    tokens = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
-    out = []
-    for lang in ORDER:
-        if lang in WORDS:
-            known = WORDS[lang].split()
-            n = F.size(F.filter(tokens, _one_of(known)))
-        else:
-            n = F.regexp_count(text, F.lit(CHARACTERS[lang])) + _double(lang, text)
-        out.append(F.struct(F.lit(lang).alias("lang"), n.cast("bigint").alias("score")))
-    return F.array(*out)
+
+    def count(tokens: Column) -> Column:
+        out = []
+        for lang in order:
+            if lang in WORDS:
+                n = F.size(F.filter(tokens, _one_of(WORDS[lang].split())))
+            else:
+                n = F.regexp_count(text, F.lit(CHARACTERS[lang])) + _double(lang, text)
+            out.append(F.struct(F.lit(lang).alias("lang"), n.cast("bigint").alias("score")))
+        return F.array(*out)
+
+    return _once(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), count)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Arabic and Persian have the score of Urdu and come after it, so they can't be the best.
+_WINNERS = tuple(x for x in ORDER if x not in ("ar", "fa"))
 
 
 def detect(text: Column, fallback: str = "en") -> Column:
@@ -66,7 +77,7 @@ def detect(text: Column, fallback: str = "en") -> Column:
     The highest score wins, the earlier language among equals; confidence is the score for each hundred
     characters, at most 1.
     """
-    best = F.aggregate(scores(text), F.struct(F.lit(None).cast("string").alias("lang"), F.lit(0).cast("bigint").alias("score")), lambda a, x: F.when(x["score"] > a["score"], x).otherwise(a))
+    best = F.aggregate(scores(text, _WINNERS), F.struct(F.lit(None).cast("string").alias("lang"), F.lit(0).cast("bigint").alias("score")), lambda a, x: F.when(x["score"] > a["score"], x).otherwise(a))
     none = F.struct(F.lit(fallback).alias("language"), F.lit(0.1).alias("confidence"))
-    found = F.struct(best["lang"].alias("language"), F.least(best["score"] / (F.length(text) / F.lit(100.0)), F.lit(1.0)).alias("confidence"))
-    return F.when(F.coalesce(F.length(F.trim(text)), F.lit(0)) < SHORT_CHARS, none).when(best["score"] == 0, none).otherwise(found)
+    found = _once(best, lambda b: F.when(b["score"] == 0, none).otherwise(F.struct(b["lang"].alias("language"), F.least(b["score"] / (F.length(text) / F.lit(100.0)), F.lit(1.0)).alias("confidence"))))
+    return F.when(F.coalesce(F.length(F.trim(text)), F.lit(0)) < SHORT_CHARS, none).otherwise(found)

@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docforge.functions.text import SPACE
 from docforge.io import materialise
 
 BITS, MOST_DISTANCE = 64, 3
@@ -43,7 +42,8 @@ def simhash(docs: DataFrame, id_col: str, text_col: str, out: str = "simhash") -
         table = np.zeros((0, BITS), np.int32)
         for b in batches:
             values = []
-            for words in b.column("w").to_pylist():
+            for t in b.column("t").to_pylist():
+                words = t.lower().split() if t else None
                 if not words:
                     values.append(None)
                     continue
@@ -61,7 +61,7 @@ def simhash(docs: DataFrame, id_col: str, text_col: str, out: str = "simhash") -
             yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(values, pa.int64())], ["k", out])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    picked = docs.select(F.col(id_col).alias("k"), F.filter(F.split(F.lower(text_col), SPACE), lambda w: w != "").alias("w"))
+    picked = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
     return picked.mapInArrow(run, f"k {kind}, `{out}` bigint").withColumnRenamed("k", id_col)
 
 

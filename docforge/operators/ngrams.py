@@ -7,6 +7,7 @@ of each covered stretch, so that the result doesn't depend on the order of n-gra
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SIZE, LEAST, LEAST_CHARS = 4, 3, 50
+#: Documents of one bucket over all sites, about.
+BUCKET_DOCUMENTS = 20_000
 
 
 def ngrams(df: DataFrame, site_col: str, id_col: str, text_col: str, size: int = SIZE) -> DataFrame:
@@ -39,10 +42,27 @@ def ngrams(df: DataFrame, site_col: str, id_col: str, text_col: str, size: int =
     return picked.mapInArrow(run, f"site {kinds['site']}, id {kinds['id']}, ngram string, n bigint")
 
 
-def confirmed(counts: DataFrame, least: int = LEAST, mode: str = "occurrence") -> DataFrame:
-    """(site, ngram, n) of n-grams with at least ``least`` occurrences, or documents, in a site."""
-    n = F.sum("n") if mode == "occurrence" else F.count("*")
-    return counts.groupBy("site", "ngram").agg(n.alias("n")).where(F.col("n") >= least)
+def totals(df: DataFrame, site_col: str, text_col: str, size: int = SIZE, mode: str = "occurrence") -> DataFrame:
+    """(site, ngram, n): occurrences, or documents (mode ``document``), in a site; counted by batch before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            count: dict = {}
+            for site, t in zip(b.column("site").to_pylist(), b.column("t").to_pylist()):
+                own = count.setdefault(site, Counter())
+                grams = (t[k : k + size] for k in range(len(t) - size + 1))
+                own.update(set(grams) if mode == "document" else grams)
+            rows = [(s, g, n) for s, own in count.items() for g, n in own.items()]
+            cols = list(zip(*rows)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.schema.field("site").type), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], ["site", "ngram", "n"])
+
+    picked = df.select(F.col(site_col).alias("site"), F.col(text_col).alias("t")).where(F.length("t") >= size)
+    return picked.mapInArrow(run, f"site {picked.schema['site'].dataType.simpleString()}, ngram string, n bigint").groupBy("site", "ngram").agg(F.sum("n").alias("n"))
+
+
+def confirmed(counts: DataFrame, least: int = LEAST) -> DataFrame:
+    """(site, ngram, n) of totals of at least ``least``."""
+    return counts.where(F.col("n") >= least)
 
 
 def top(counts: DataFrame, most: int = 10) -> DataFrame:
@@ -52,7 +72,7 @@ def top(counts: DataFrame, most: int = 10) -> DataFrame:
 
 def site_stats(counts: DataFrame, least: int = LEAST) -> DataFrame:
     """By site: different n-grams and how many of them are confirmed."""
-    return counts.groupBy("site", "ngram").agg(F.sum("n").alias("n")).groupBy("site").agg(F.count("*").alias("ngrams"), F.count_if(F.col("n") >= least).alias("confirmed"))
+    return counts.groupBy("site").agg(F.count("*").alias("ngrams"), F.count_if(F.col("n") >= least).alias("confirmed"))
 
 
 def running(counts: DataFrame, order_col: str = "id") -> DataFrame:
@@ -61,28 +81,52 @@ def running(counts: DataFrame, order_col: str = "id") -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0).cast("bigint")))
 
 
-def masked(df: DataFrame, found: DataFrame, site_col: str, id_col: str, text_col: str, size: int = SIZE, least_chars: int = LEAST_CHARS) -> DataFrame:
+def masked(df: DataFrame, found: DataFrame, site_col: str, id_col: str, text_col: str, size: int = SIZE, least_chars: int = LEAST_CHARS, rows: int | None = None) -> DataFrame:
     """(id, text): texts with the confirmed n-grams of their site masked; null, blank and short texts stay as they are.
 
-    A document's own confirmed n-grams are gathered by a join, so no site's whole list is sent to a task.
+    Documents are grouped by site and bucket, so that a hot site is spread; each bucket gets its site's
+    confirmed n-grams, of which a task keeps 8 bytes each (their number is that of different n-grams in use,
+    not of documents).
     """
-    ours = ngrams(df.where(F.length(text_col) >= least_chars), site_col, id_col, text_col, size).join(found.select("site", "ngram"), ["site", "ngram"], "left_semi").groupBy("id").agg(F.collect_list("ngram").alias("grams"))
-    x = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(ours, "id", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = [mask(t, set(g), size) if g else t for t, g in zip(b.column("t").to_pylist(), b.column("grams").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.string())], ["id", "text"])
-
-    kind = x.schema["id"].dataType.simpleString()
-    return x.mapInArrow(run, f"id {kind}, text string").withColumnsRenamed({"id": id_col, "text": text_col})
-
-
-def mask(text: str, grams: set[str], size: int = SIZE) -> str:
+    buckets = max(1, -(-(df.count() if rows is None else rows) // BUCKET_DOCUMENTS))
+    docs = df.select(F.col(site_col).alias("site"), F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int").alias("bucket"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    whole = docs.where(F.coalesce(F.length("t") < least_chars, F.lit(True)) | F.col("site").isNull()).select("id", F.col("t").alias("text"))
+    long = docs.where((F.length("t") >= least_chars) & F.col("site").isNotNull())
+    lists = found.select("site", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), "ngram")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = np.unique(gram_hashes("".join(right.column("ngram").to_pylist()), size)[::size]) if right.num_rows else np.zeros(0, np.uint64)
+        texts = [mask(t, known, size) for t in left.column("t").to_pylist()]
+        return pa.table({"id": left.column("id"), "text": pa.array(texts, pa.string())})
+
+    kind = docs.schema["id"].dataType.simpleString()
+    done = long.groupBy("site", "bucket").cogroup(lists.groupBy("site", "bucket")).applyInArrow(run, f"id {kind}, text string")
+    return whole.unionByName(done).withColumnsRenamed({"id": id_col, "text": text_col})
+
+
+def gram_hashes(text: str, size: int = SIZE) -> np.ndarray:
+    """A 64-bit hash of each n-gram of a text."""
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    n = len(cp) - size + 1
+    out = np.zeros(max(n, 0), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + cp[k : k + len(out)]
+    return out
+
+
+def mask(text: str, known: np.ndarray, size: int = SIZE) -> str:
+    """``text`` with every character of a known n-gram blanked; ``known`` has their hashes in order."""
+    if not len(known) or len(text) < size:
+        return text
+    keys = gram_hashes(text, size)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    hit = known[at] == keys
+    if not hit.any():
+        return text
     cover = np.zeros(len(text) + 1, dtype=np.int64)
-    for k in range(len(text) - size + 1):
-        if text[k : k + size] in grams:
-            cover[k] += 1
-            cover[k + size] -= 1
+    start = np.flatnonzero(hit)
+    cover[start] += 1
+    np.subtract.at(cover, start + size, 1)
     hidden = np.cumsum(cover[:-1]) > 0
-    return " ".join("".join(" " if h else c for c, h in zip(text, hidden)).split())
+    return " ".join("".join(" " if h else c for c, h in zip(text, hidden.tolist())).split())

@@ -331,8 +331,8 @@ def normalized_documents(spark: SparkSession, d: str) -> DataFrame:
 _NGRAMS = "WITH g AS (SELECT source AS site, doc_id, substr(text, i::INT, 4) AS ngram FROM documents, LATERAL (SELECT unnest(range(1, length(text) - 2)) AS i) WHERE length(text) >= 4), c AS (SELECT site, doc_id, ngram, count(*) AS n FROM g GROUP BY ALL) "
 
 
-def _ngrams(spark: SparkSession, d: str) -> DataFrame:
-    return ngrams.ngrams(table(spark, d, "documents"), "source", "doc_id", "text")
+def _ngrams(spark: SparkSession, d: str, mode: str = "occurrence") -> DataFrame:
+    return ngrams.totals(table(spark, d, "documents"), "source", "text", mode=mode)
 
 
 @query(_NGRAMS + "SELECT ngram, sum(n)::BIGINT AS n FROM c GROUP BY ngram ORDER BY n DESC, ngram LIMIT 10")
@@ -352,14 +352,14 @@ def ngram_site_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_NGRAMS + ", r AS (SELECT doc_id, coalesce(sum(n) OVER (PARTITION BY site, ngram ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c) SELECT doc_id, count(*) AS ngrams, count(*) FILTER (before >= 3) AS known FROM r GROUP BY doc_id")
 def ngram_running_confirm(spark: SparkSession, d: str) -> DataFrame:
-    return ngrams.running(_ngrams(spark, d)).groupBy("id").agg(F.count("*").alias("ngrams"), F.count_if(F.col("before") >= 3).alias("known")).withColumnRenamed("id", "doc_id")
+    return ngrams.running(ngrams.ngrams(table(spark, d, "documents"), "source", "doc_id", "text")).groupBy("id").agg(F.count("*").alias("ngrams"), F.count_if(F.col("before") >= 3).alias("known")).withColumnRenamed("id", "doc_id")
 
 
 @query()
 def boilerplate_mask(spark: SparkSession, d: str) -> DataFrame:
     """Documents with the n-grams masked that 40 documents of their source have."""
     x = table(spark, d, "documents")
-    return ngrams.masked(x, ngrams.confirmed(_ngrams(spark, d), least=40, mode="document"), "source", "doc_id", "text")
+    return ngrams.masked(x, ngrams.confirmed(_ngrams(spark, d, "document"), 40), "source", "doc_id", "text")
 
 
 # Store

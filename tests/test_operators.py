@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -72,9 +73,9 @@ def test_ngrams_against_a_loop(spark):
         for g, n in c.items():
             before[(s, i, g)] = want[s][g]
         want[s].update(c)
-    assert {(r["site"], r["ngram"]): r["n"] for r in ngrams.confirmed(counts).collect()} == {(s, g): n for s in want for g, n in want[s].items() if n >= 3}
+    assert {(r["site"], r["ngram"]): r["n"] for r in ngrams.confirmed(ngrams.totals(df, "site", "text")).collect()} == {(s, g): n for s in want for g, n in want[s].items() if n >= 3}
     assert {(r["site"], r["id"], r["ngram"]): r["before"] for r in ngrams.running(counts).collect()} == before
-    got = {r["id"]: r["text"] for r in ngrams.masked(df, ngrams.confirmed(counts), "site", "id", "text").collect()}
+    got = {r["id"]: r["text"] for r in ngrams.masked(df, ngrams.confirmed(ngrams.totals(df, "site", "text")), "site", "id", "text").collect()}
     for s, i, t in texts:
         if t is None or len(t) < 50:
             assert got[i] == t
@@ -87,7 +88,14 @@ def test_ngrams_against_a_loop(spark):
 
 
 def test_mask_is_free_of_order():
-    assert ngrams.mask("abcdefgh", {"abcd", "cdef"}) == "gh"
+    known = np.sort(np.concatenate([ngrams.gram_hashes("abcd"), ngrams.gram_hashes("cdef")]))
+    assert ngrams.mask("abcdefgh", known) == "gh" and ngrams.mask("abc", known) == "abc"
+
+
+def test_ngram_documents(spark):
+    df = spark.createDataFrame([("s", "aaaaaa"), ("s", "aaaa"), ("t", "aaaa"), ("s", None)], "site string, text string")
+    assert {tuple(r) for r in ngrams.totals(df, "site", "text", mode="document").collect()} == {("s", "aaaa", 2), ("t", "aaaa", 1)}
+    assert {tuple(r) for r in ngrams.site_stats(ngrams.totals(df, "site", "text")).collect()} == {("s", 1, 1), ("t", 1, 0)}
 
 
 def test_upsert(spark):
