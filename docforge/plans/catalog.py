@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docforge.functions import html, language, metadata, pdf, text
 from docforge.io import table
-from docforge.operators import analysis, crawl, dedup, ngrams, normalize, search, store, timestamps
+from docforge.operators import analysis, crawl, dedup, ngrams, normalize, parse, search, store, timestamps
 from docforge.sources import fetch, listings, registry
 from docforge.streaming import state
 
@@ -317,6 +317,19 @@ def conditional_replay(spark: SparkSession, d: str) -> DataFrame:
     return fetch.replay(asked, answers).groupBy("status").agg(F.count("*").alias("requests"))
 
 
+@query("""WITH c AS (SELECT source_id, http_status::VARCHAR AS s, count(DISTINCT raw_id) AS n FROM raw_documents GROUP BY 1, 2) SELECT source_id, string_agg(s || ':' || n, ',' ORDER BY s) AS counts FROM c GROUP BY source_id""")
+def status_counts_by_source(spark: SparkSession, d: str) -> DataFrame:
+    r = table(spark, d, "raw_documents").select("raw_id", "source_id", "http_status").distinct()
+    x = parse.status_counts(r, "source_id", F.col("http_status").cast("string"))
+    return x.select("source_id", F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",").alias("counts"))
+
+
+@query()
+def parse_raw_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every fetched page to a parsed document, with its metadata."""
+    return parse.parsed_documents(table(spark, d, "raw_documents"), table(spark, d, "sources"))
+
+
 # Normalisation, n-grams
 
 
