@@ -14,10 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from docforge.io import materialise
 
 SIZE, LEAST, LEAST_CHARS = 4, 3, 50
 #: Documents of one bucket over all sites, about.
 BUCKET_DOCUMENTS = 20_000
+#: Stretches that a site's documents are cut into for running sums.
+PARTS = 16
 
 
 def ngrams(df: DataFrame, site_col: str, id_col: str, text_col: str, size: int = SIZE) -> DataFrame:
@@ -75,10 +80,27 @@ def site_stats(counts: DataFrame, least: int = LEAST) -> DataFrame:
     return counts.groupBy("site").agg(F.count("*").alias("ngrams"), F.count_if(F.col("n") >= least).alias("confirmed"))
 
 
-def running(counts: DataFrame, order_col: str = "id") -> DataFrame:
-    """(site, id, ngram, n, before): occurrences in the site's documents before this one, in the order of ``order_col``."""
-    w = Window.partitionBy("site", "ngram").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0).cast("bigint")))
+def running(counts: DataFrame, order_col: str = "id", parts: int = PARTS) -> DataFrame:
+    """(site, id, ngram, n, before): occurrences in the site's documents before this one, in the order of ``order_col``.
+
+    A number as order is cut at approximate quantiles into ``parts`` stretches: sums of whole stretches come
+    from a window over at most ``parts`` rows, the rest from one within the stretch, so that no task sees
+    all documents of a hot site's common n-gram. Any other order is one stretch.
+    """
+    key = ["site", "ngram"]
+    numeric = isinstance(counts.schema[order_col].dataType, NumericType)
+    if numeric and parts > 1:
+        counts = materialise(counts, "ngrams")  # read three times below
+    bounds = sorted(set(counts.approxQuantile(order_col, [i / parts for i in range(1, parts)], 0.01))) if numeric and parts > 1 else []
+    inside = Window.partitionBy(*key, "__p").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    if not bounds:
+        return counts.withColumn("__p", F.lit(0)).withColumn("before", F.coalesce(F.sum("n").over(inside), zero)).drop("__p")
+    x = counts.withColumn("__p", F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(order_col))))
+    whole = Window.partitionBy(*key).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = x.groupBy(*key, "__p").agg(F.sum("n").alias("__s")).withColumn("__before", F.coalesce(F.sum("__s").over(whole), zero)).drop("__s")
+    out = x.join(sums, [*key, "__p"]).withColumn("before", F.col("__before") + F.coalesce(F.sum("n").over(inside), zero))
+    return out.select(*counts.columns, "before")
 
 
 def masked(df: DataFrame, found: DataFrame, site_col: str, id_col: str, text_col: str, size: int = SIZE, least_chars: int = LEAST_CHARS, rows: int | None = None) -> DataFrame:
