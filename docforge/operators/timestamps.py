@@ -15,7 +15,6 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Years of local times that are placed; others are no case.
 FIRST_YEAR, LAST_YEAR = 1900, 2100
