@@ -341,6 +341,13 @@ def normalized_documents(spark: SparkSession, d: str) -> DataFrame:
     return normalize.normalized(p).select("doc_id", "title", "char_count", "word_count", "content_hash")
 
 
+@query()
+def normalized_all(spark: SparkSession, d: str) -> DataFrame:
+    """All parsed documents, whatever their characters, with text, language and counts; SQL can't state encoding repair."""
+    p = table(spark, d, "parsed_documents").select("doc_id", "url", "title", "body_text").distinct()
+    return normalize.normalized(p).select("doc_id", "title", "site_key", "clean_text", "language", "confidence", "char_count", "word_count", "content_hash")
+
+
 _NGRAMS = "WITH g AS (SELECT source AS site, doc_id, substr(text, i::INT, 4) AS ngram FROM documents, LATERAL (SELECT unnest(range(1, length(text) - 2)) AS i) WHERE length(text) >= 4), c AS (SELECT site, doc_id, ngram, count(*) AS n FROM g GROUP BY ALL) "
 
 

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from docforge.operators import analysis, crawl, dedup, ngrams, normalize, search, store
+from docforge.plans import catalog
 
 NOW = dt.datetime(2026, 1, 1)
 
@@ -215,3 +216,18 @@ def test_topics_and_summary(spark):
     got = {r["id"]: (r["t"], r["s"]) for r in df.select("id", analysis.topics(F.col("text")).alias("t"), analysis.key_sentences(F.col("text"), 2).alias("s")).collect()}
     assert got[1][0] == ["disclosure", "capital", "records"] and got[1][1] == ["We report capital.", "The audit record is safe."]
     assert got[2] == ([], [])
+
+
+def test_all_documents_are_normalized(spark, tmp_path):
+    import hashlib
+
+    german = "Die Bank und der Prüfer sind für das Jahr nicht im Verzug"
+    russian = "Банк обязан хранить сведения о клиентах пять лет"
+    bodies = {"a": "The bank must file the report by the end of the year", "b": german, "c": german.encode().decode("latin-1"), "d": german.encode().decode("cp1252").encode().decode("cp1252"), "e": russian, "f": None, "g": " "}
+    clean = bodies | {"c": german, "d": german, "f": ""}
+    rows = [(k, f"https://www.x.org/{k}", None if k == "b" else " T ", t) for k, t in bodies.items()]
+    spark.createDataFrame(rows + rows[:3], "doc_id string, url string, title string, body_text string").write.parquet(str(tmp_path / "parsed_documents.parquet"))
+    got = catalog.queries()["normalized_all"](spark, str(tmp_path)).collect()
+    want = {(k, "Untitled" if k == "b" else "T", "x.org", t, len(t), len(t.split()), hashlib.sha256(t.encode()).hexdigest()) for k, t in clean.items()}
+    assert len(got) == len(want) and {(r["doc_id"], r["title"], r["site_key"], r["clean_text"], r["char_count"], r["word_count"], r["content_hash"]) for r in got} == want
+    assert {r["doc_id"]: r["language"] for r in got} == {"a": "en", "b": "de", "c": "de", "d": "de", "e": "ru", "f": "en", "g": "en"}
