@@ -28,7 +28,7 @@ from docforge.llm.arrow import list_array, slices
 #: Share of a text's bytes that may be left out of the join.
 REST = 0.25
 #: Share of the larger text's bytes that a candidate pair has in common.
-COVERAGE = 0.33
+COVERAGE = 0.28
 LEAST_JACCARD = 0.6
 #: Up to so many ids of texts to compare are broadcast (measured: 180 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 100_000
@@ -78,11 +78,13 @@ def append(new: DataFrame, path: str) -> None:
 
 def candidates(kept: DataFrame, newer_than: int = 0) -> DataFrame:
     """(a, b): pairs of classes, a < b, at least one with a new member, whose chunks cover enough of the larger text."""
-    one = kept.groupBy("cls", "level").agg(F.bool_or(F.col("batch") > newer_than).alias("fresh"), F.min("total").alias("total"), F.min_by(F.struct("chunk", "bytes"), "k").alias("x"))
-    rows = one.select("cls", "level", "fresh", "total", F.explode(F.arrays_zip("x.chunk", "x.bytes")).alias("z")).select("cls", "level", "fresh", "total", F.col("z.chunk").alias("chunk"), F.col("z.bytes").alias("bytes"))
+    one = kept.groupBy("cls", "level").agg(F.bool_or(F.col("batch") > newer_than).alias("fresh"), F.min_by(F.struct("chunk", "bytes"), "k").alias("x"))
+    rows = one.select("cls", "level", "fresh", F.explode(F.arrays_zip("x.chunk", "x.bytes")).alias("z")).select("cls", "level", "fresh", F.col("z.chunk").alias("chunk"), F.col("z.bytes").alias("bytes"))
     shared = rows.groupBy("chunk").agg(F.count("*").alias("texts"), F.bool_or("fresh").alias("any")).where((F.col("texts") > 1) & F.col("any")).select("chunk", "texts")
-    common = rows.join(shared, "chunk")
-    listed = common.groupBy("cls", "level", "fresh", "total").agg(F.array_sort(F.collect_list(F.struct("texts", "chunk", "bytes"))).alias("list"))
+    # what is the same for all chunks of a text comes back after the large shuffle
+    common = rows.drop("fresh").join(shared, "chunk")
+    each = kept.groupBy("cls", "level").agg(F.bool_or(F.col("batch") > newer_than).alias("fresh"), F.min("total").alias("total"))
+    listed = common.groupBy("cls", "level").agg(F.array_sort(F.collect_list(F.struct("texts", "chunk", "bytes"))).alias("list")).join(each, ["cls", "level"])
     # the chunks that only this text has are the rarest: their bytes come first
     alone = F.col("total") - F.aggregate("list", F.lit(0).cast("bigint"), lambda s, x: s + x["bytes"])
     start = F.struct(alone.alias("spent"), F.slice("list", 1, 0).alias("kept"))

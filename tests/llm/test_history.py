@@ -91,3 +91,26 @@ def test_other_thresholds(spark, least):
     rows = corpus(5, 60)
     got = {tuple(r) for r in history.near_duplicates(spark.createDataFrame(rows, KIND), least=least).collect()}
     assert got <= {p for p, j in brute(rows).items() if j >= least}
+
+
+def test_scattered_edits_near_the_threshold(spark):
+    """Pairs at a similarity of 0.60 to 0.70, of 100 to 500 words, with edits all over the text."""
+    random.seed(6)
+    words = [f"w{i}" for i in range(4000)]
+    rows, want = [], set()
+    for length in (100, 150, 250, 500):
+        n = 0
+        while n < 50:
+            base = random.choices(words, k=length)
+            copy = list(base)
+            for _ in range(int(length * random.uniform(0.06, 0.16))):
+                k = random.randrange(len(copy))
+                copy[k : k + 1] = random.choice(([], [random.choice(words)], [copy[k], random.choice(words)]))
+            if 0.6 <= jaccard(shingles(" ".join(base)), shingles(" ".join(copy))) < 0.7:
+                name = f"{length:04}-{n:02}"
+                rows += [(f"{name}a", " ".join(base), 1, "x"), (f"{name}b", " ".join(copy), 1, "x")]
+                want.add((f"{name}a", f"{name}b"))
+                n += 1
+    got = {tuple(r) for r in history.near_duplicates(spark.createDataFrame(rows, KIND)).collect()}
+    print("found", len(got & want), "of", len(want))
+    assert got <= want and len(got) >= 0.98 * len(want)
