@@ -240,3 +240,69 @@ def garbled_pages(df: DataFrame, id_col: str = "raw_id", bytes_col: str = "conte
     kind = df.schema[id_col].dataType.simpleString()
     picked = df.where(F.col(status_col) == 200).select(F.col(id_col).alias("k"), F.col(bytes_col).alias("c"), F.col(headers_col).alias("h")).where(F.length("c") > 0)
     return picked.mapInArrow(run, f"k {kind}").distinct().withColumnRenamed("k", id_col)
+
+
+#: Single-byte code pages tried where the declared charset doesn't give the text.
+FALLBACKS = ("cp1252", "cp1251", "koi8-r", "iso8859-5", "cp1250", "mac_roman")
+_MULTI = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
+_HIGH = re.compile(rb"[\x80-\xff]")
+
+
+def _wide(data: bytes) -> str | None:
+    """The charset of two-byte text, by its mark or by where its zeros are; None for other text."""
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16"
+    even, odd = data[:4096:2].count(0), data[1:4096:2].count(0)
+    least = len(data[:4096]) // 8
+    return "utf-16-le" if odd > max(least, 2 * even) else "utf-16-be" if even > max(least, 2 * odd) else None
+
+
+def _stray(e: UnicodeDecodeError) -> tuple[str, int]:
+    """A single byte outside of UTF-8 is Windows text; what is left of a cut sequence is lost."""
+    return ("\ufffd" if e.end - e.start > 1 else e.object[e.start : e.end].decode("cp1252", "replace")), e.end
+
+
+codecs.register_error("docforge-stray", _stray)
+
+
+def original(headers, data: bytes) -> str:
+    """The page's text as it was written, as far as its bytes have it.
+
+    Two-byte text is told by its mark or zeros; where most high bytes lie in well-formed UTF-8, those spans are
+    decoded as such; else the declared charset or the code page is taken that leaves the fewest traces. What
+    was garbled before the page was stored is then undone as in records.
+    """
+    wide = _wide(data)
+    high = len(_HIGH.findall(data))
+    if wide:
+        text = data.decode(wide, "replace")
+    elif not high or 2 * sum(map(len, _MULTI.findall(data))) > high:
+        text = data.decode("utf-8", "docforge-stray")
+    else:
+        tried = []
+        for page in dict.fromkeys((declared(headers, data), *FALLBACKS)):
+            try:
+                tried.append(data.decode(page, "replace" if page in FALLBACKS else "strict"))
+            except (UnicodeError, LookupError):
+                pass
+        text = min(tried, key=lambda t: sum(1 for _ in TRACES.finditer(t)))
+    text = text.removeprefix("\ufeff")
+    return restore(text) if garbled([text])[0] else text
+
+
+def restored_pages(df: DataFrame, id_col: str = "raw_id", bytes_col: str = "content_bytes", headers_col: str = "headers", status_col: str = "http_status") -> DataFrame:
+    """(id, text, restored) of the pages of ``garbled_pages``, each once: the text as declared, and as written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "c"):
+            pages = list(zip(part.column("h").to_pylist(), part.column("c").to_pylist()))
+            read = [decoded(head, data) for head, data in pages]
+            hit = garbled([t for t, _ in read]) | np.array([not fine or "\0" in t for t, fine in read], dtype=bool)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("k").filter(pa.array(hit)), pa.array([t for (t, _), h in zip(read, hit) if h], type=pa.string()), pa.array([original(*p) for p, h in zip(pages, hit) if h], type=pa.string())],
+                ["k", "t", "restored"],
+            )
+
+    kind = df.schema[id_col].dataType.simpleString()
+    picked = df.where(F.col(status_col) == 200).select(F.col(id_col).alias("k"), F.col(bytes_col).alias("c"), F.col(headers_col).alias("h")).where(F.length("c") > 0)
+    return picked.mapInArrow(run, f"k {kind}, t string, restored string").dropDuplicates(["k"]).withColumnsRenamed({"k": id_col, "t": "text"})

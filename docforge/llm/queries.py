@@ -40,7 +40,9 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_restored(spark: SparkSession, d: str) -> DataFrame:
-    return garbled.restored_records(table(spark, d, "document_records"))
+    raw = garbled.restored_pages(table(spark, d, "raw_documents")).select(F.lit("raw").alias("kind"), F.col("raw_id").cast("string").alias("row_key"), "text", "restored")
+    records = garbled.restored_records(table(spark, d, "document_records")).select(F.lit("record").alias("kind"), F.col("doc_id").alias("row_key"), F.col("clean_text").alias("text"), "restored")
+    return raw.unionByName(records)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

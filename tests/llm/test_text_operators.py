@@ -218,3 +218,24 @@ def test_confusions_share_a_skeleton(right, good, bad):
     assert scans.one_confusion(wrong, right) >= 0
     if (good, bad) not in (("b", "h"), ("h", "b"), ("g", "9")):
         assert scans.skeleton(wrong) == scans.skeleton(right)
+
+
+def test_garbled_pages_are_restored(spark, tmp_path):
+    from docforge.llm import queries
+
+    html = {"Content-Type": "text/html"}
+    latin, russian, hindi = "<p>Une banque « privée » — café naïf</p>", "<p>Банк обязан хранить сведения о клиентах</p>", "<p>जब तक शिकायत लंबित रहे</p>"
+    said = lambda c: {"content-type": f"text/html; charset={c}"}
+    rows = [
+        (1, 200, latin.encode(), html, None), (2, 200, latin.encode("cp1252"), html, latin), (3, 200, latin.encode().decode("cp1252").encode(), html, latin), (4, 200, latin.encode("cp1252"), said("windows-1251"), latin),
+        (5, 200, latin.encode(), said("iso-8859-1"), latin), (6, 200, russian.encode("cp1251"), said("koi8-r"), russian), (7, 200, russian.encode("cp1251"), html, russian), (8, 200, russian.encode("utf-16"), html, russian),
+        (9, 200, hindi.encode(), said("windows-1252"), hindi), (10, 404, latin.encode("cp1252"), html, None), (11, 200, russian.encode("utf-16-le"), html, russian), (12, 200, russian.encode("cp1251"), said("windows-1251"), None),
+        (13, 200, hindi.encode() + b"<p>Caf\xe9</p>", html, hindi + "<p>Café</p>"),
+    ]
+    raw = [(k, s, bytearray(b), h) for k, s, b, h, _ in rows]
+    spark.createDataFrame(raw + raw[:2], "raw_id bigint, http_status int, content_bytes binary, headers map<string,string>").write.parquet(str(tmp_path / "raw_documents.parquet"))
+    spark.createDataFrame([("r1", "CafÃ©"), ("r2", "plain")], "doc_id string, clean_text string").write.parquet(str(tmp_path / "document_records.parquet"))
+    got = queries.p4_restored(spark, str(tmp_path)).collect()
+    assert len({(r["kind"], r["row_key"]) for r in got}) == len(got)
+    assert {(r["kind"], r["row_key"]): r["restored"] for r in got} == {("raw", str(k)): t for k, *_, t in rows if t} | {("record", "r1"): "Café"}
+    assert {(r["kind"], r["row_key"]) for r in got} == {(r["kind"], r["row_key"]) for r in queries.p4_found(spark, str(tmp_path)).collect()}
