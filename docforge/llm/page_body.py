@@ -22,6 +22,7 @@ from docforge.io import materialise
 from docforge.llm import garbled as g
 from docforge.llm.arrow import slices
 from docforge.llm.scans import paged
+from docforge.operators.crawl import content_type
 from docforge.operators.timestamps import site_key
 
 #: A line is common if it stands on so many pages of its site, and so large a share of them.
@@ -202,6 +203,43 @@ class Elements(HTMLParser):
             self.text.append(data)
 
 
+class Page(Elements):
+    """A whole page: its title apart from its lines."""
+
+    def __init__(self):
+        super().__init__()
+        self.title = ""
+        self.named = False
+
+    def handle_starttag(self, tag, attrs):
+        self.named = tag == "title" and not self.title
+        if self.named:
+            self._flush()
+        super().handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        self.named = False
+        super().handle_endtag(tag)
+
+    def handle_data(self, data):
+        if self.named:
+            self.title += data
+        else:
+            super().handle_data(data)
+
+
+def page_text(headers, data: bytes) -> tuple[str | None, str]:
+    """A fetched page's title, without the site's name behind a bar, and its lines."""
+    text, fine = g.decoded(headers, data)
+    if not fine or "\0" in text or g.garbled([text])[0]:
+        text = g.original(headers, data)
+    page = Page()
+    page.feed(text)
+    page.close()
+    page._flush()
+    return " ".join(page.title.split()).split(" | ")[0] or None, "\n".join(x for x, _ in page.found)
+
+
 def elements(lines: list[str], headers, data: bytes | None) -> list[int] | None:
     """For each line the element it stands in, -1 if it isn't found; None without bytes."""
     if not data:
@@ -238,29 +276,36 @@ def line_counts(pages: DataFrame) -> DataFrame:
     """(k, n, alike): for each page the number of pages of its site, and a map from key to pages for its lines that others of
     the site have, too, and for its leads that pages of any site have.
 
-    ``pages`` has k, site, keys and leads, each page once.
+    ``pages`` has k, site, keys, leads and counted, each page once; those that aren't counted are compared with the others.
     """
-    own = pages.select("k", "site", F.explode(F.array_distinct(F.array_compact("keys"))).alias("key"))
-    lead = pages.select("k", F.lit("*").alias("site"), F.explode(F.array_distinct(F.array_compact("leads"))).alias("key"))  # alike on all sites
+    own = pages.select("k", "site", "counted", F.explode(F.array_distinct(F.array_compact("keys"))).alias("key"))
+    lead = pages.select("k", F.lit("*").alias("site"), "counted", F.explode(F.array_distinct(F.array_compact("leads"))).alias("key"))  # alike on all sites
     each = own.unionByName(lead)
-    many = each.groupBy("site", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= COMMON_PAGES)
-    sizes = pages.groupBy("site").agg(F.count("*").alias("n"))
+    many = each.where("counted").groupBy("site", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= COMMON_PAGES)
+    sizes = pages.where("counted").groupBy("site").agg(F.count("*").alias("n"))
     alike = each.join(many, ["site", "key"]).groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("key", "pages"))).alias("alike"))
-    return pages.join(sizes, "site").join(alike, "k", "left").select("k", "n", "alike", "keys", "leads")
+    return pages.join(sizes, "site", "left").join(alike, "k", "left").select("k", F.coalesce("n", F.lit(1)).alias("n"), "alike", "keys", "leads")
 
 
-def boilerplate_lines(parsed: DataFrame, raw: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "body_text", title_col: str = "title", url_col: str = "url") -> DataFrame:
+def boilerplate_lines(parsed: DataFrame, raw: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "body_text", title_col: str = "title", url_col: str = "url", beside: DataFrame | None = None) -> DataFrame:
     """(id, line_no) of the lines of pages fetched as HTML that aren't part of the main body.
 
     ``raw`` are fetched pages; where one's bytes are kept, its elements give the proximity edges. Lines
     are what lies between ``\n``, from 1; blank ones are no case. Null and blank texts have none; a page
-    delivered twice counts once; other columns are left out; an empty table gives an empty result.
+    delivered twice counts once; other columns are left out; an empty table gives an empty result. Pages of
+    ``beside`` are counted with them; rows with a false column ``counted`` are not.
     """
-    pages = parsed.where(~F.coalesce(paged(F.col(url_col)), F.lit(False)) & F.col(text_col).rlike(r"\S") & F.col(id_col).isNotNull())
-    pages = pages.select(F.col(id_col).alias("k"), F.coalesce(site_key(F.col(url_col)), F.lit("")).alias("site"), F.col(title_col).alias("title"), F.col(text_col).alias("t"))
+
+    def picked(df: DataFrame) -> DataFrame:
+        x = df.where(~F.coalesce(paged(F.col(url_col)), F.lit(False)) & F.col(text_col).rlike(r"\S") & F.col(id_col).isNotNull())
+        counted = F.col("counted") if "counted" in df.columns else F.lit(True)
+        return x.select(F.col(id_col).alias("k"), F.coalesce(site_key(F.col(url_col)), F.lit("")).alias("site"), F.col(title_col).alias("title"), F.col(text_col).alias("t"), counted.alias("counted"))
+
+    pages = picked(parsed)
+    counted = pages if beside is None else pages.unionByName(picked(beside))
     lines = F.split("t", "\n", -1)
     key = F.transform(lines, lambda x: F.when(F.trim(x) != "", line_key(x)))
-    slim = pages.select("k", "site", key.alias("keys"), F.transform(lines, lead_key).alias("leads")).groupBy("k").agg(F.first("site").alias("site"), F.first("keys").alias("keys"), F.first("leads").alias("leads"))
+    slim = counted.select("k", "site", "counted", key.alias("keys"), F.transform(lines, lead_key).alias("leads")).groupBy("k").agg(F.first("site").alias("site"), F.first("counted").alias("counted"), F.first("keys").alias("keys"), F.first("leads").alias("leads"))
     known = line_counts(materialise(slim, "keys"))
     whole = pages.select("k", "title", "t").dropDuplicates(["k"]).join(known, "k")
     if raw is not None:
@@ -286,9 +331,36 @@ def boilerplate_lines(parsed: DataFrame, raw: DataFrame | None = None, id_col: s
     return ready.mapInArrow(run, f"k {kind}, line_no int").withColumnRenamed("k", id_col)
 
 
+def unparsed_pages(parsed: DataFrame, raw: DataFrame, id_col: str = "doc_id", text_col: str = "body_text") -> DataFrame:
+    """(id, url, title, text, counted) of the HTML pages fetched that have no parsed row, each once, from their bytes.
+
+    Counted is the latest fetch of each URL that no parsed page has, so that a page fetched again is not common by that.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "data"):
+            read = [page_text(head, data) for head, data in zip(part.column("headers").to_pylist(), part.column("data").to_pylist())]
+            yield pa.RecordBatch.from_arrays([part.column("k"), part.column("url"), part.column("fetched_at"), pa.array([t for t, _ in read], pa.string()), pa.array([x for _, x in read], pa.string())], ["k", "url", "fetched_at", "title", "t"])
+
+    ok = raw.where((F.col("http_status") == 200) & (F.length("content_bytes") > 0) & ~F.coalesce(paged(F.col("url")), F.lit(False)) & (content_type(F.col("headers"), F.col("content_bytes")) != "pdf"))
+    new = ok.select(raw_doc_id(F.col("url"), F.col("fetched_at")).alias("k"), "url", F.unix_micros(F.col("fetched_at").cast("timestamp")).alias("fetched_at"), "headers", F.col("content_bytes").alias("data"))
+    new = new.join(parsed.select(F.col(id_col).alias("k")), "k", "left_anti").dropDuplicates(["k"])
+    pages = materialise(new.mapInArrow(run, "k string, url string, fetched_at bigint, title string, t string"), "unparsed")
+    latest = pages.groupBy("url").agg(F.max_by("k", "fetched_at").alias("k")).join(parsed.select("url"), "url", "left_anti").select("k", F.lit(True).alias("counted"))
+    return pages.join(latest, "k", "left").select(F.col("k").alias(id_col), "url", "title", F.col("t").alias(text_col), F.coalesce("counted", F.lit(False)).alias("counted"))
+
+
 def main_bodies(parsed: DataFrame, raw: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "body_text") -> DataFrame:
-    """(id, text): each HTML page's text without the lines found."""
-    found = boilerplate_lines(parsed, raw, id_col, text_col).groupBy(id_col).agg(F.collect_set("line_no").alias("__drop"))
-    pages = parsed.where(~F.coalesce(paged(F.col("url")), F.lit(False))).select(id_col, text_col).dropDuplicates([id_col])
-    kept = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.coalesce(F.array_contains("__drop", i + 1), F.lit(False)))
-    return pages.join(found, id_col, "left").select(id_col, F.array_join(kept, "\n").alias(text_col))
+    """(id, text): each HTML page's text without the lines found; of pages fetched and not parsed yet, by the id that they will have."""
+
+    def bodies(df: DataFrame, found: DataFrame) -> DataFrame:
+        drop = found.groupBy(id_col).agg(F.collect_set("line_no").alias("__drop"))
+        pages = df.where(~F.coalesce(paged(F.col("url")), F.lit(False))).select(id_col, text_col).dropDuplicates([id_col])
+        kept = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.coalesce(F.array_contains("__drop", i + 1), F.lit(False)))
+        return pages.join(drop, id_col, "left").select(id_col, F.array_join(kept, "\n").alias(text_col))
+
+    out = bodies(parsed, boilerplate_lines(parsed, raw, id_col, text_col))
+    if raw is None:
+        return out
+    new = unparsed_pages(parsed, raw, id_col, text_col)
+    return out.unionByName(bodies(new, boilerplate_lines(new, raw, id_col, text_col, beside=parsed)))

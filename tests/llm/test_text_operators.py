@@ -239,3 +239,23 @@ def test_garbled_pages_are_restored(spark, tmp_path):
     assert len({(r["kind"], r["row_key"]) for r in got}) == len(got)
     assert {(r["kind"], r["row_key"]): r["restored"] for r in got} == {("raw", str(k)): t for k, *_, t in rows if t} | {("record", "r1"): "Café"}
     assert {(r["kind"], r["row_key"]) for r in got} == {(r["kind"], r["row_key"]) for r in queries.p4_found(spark, str(tmp_path)).collect()}
+
+
+def test_main_bodies_of_pages_not_parsed_yet(spark):
+    import datetime as dt
+    import hashlib
+
+    def notice(i):
+        return [f"The notice of desk {'abcdefgh'[i] * 4}", f"The depositary {'abcdefgh'[i] * 5} shall file the annual report with the desk by the end of the year.", f"A registrar {'ghijklmn'[i] * 5} keeps all records of clients for at least five years after that."]
+
+    side = ["Regulator", "Home", "Contact", "Most read", "All rights reserved"]
+    at = dt.datetime(2024, 1, 1)
+    ids = [hashlib.sha256(f"https://a.org/n/{i}|2024-01-01T00:00:00+00:00".encode()).hexdigest()[:16] for i in range(8)]
+    html = lambda i: f"<html><head><title>{notice(i)[0]} | Regulator</title><style>p{{}}</style></head><body><div>Regulator</div><ul><li>Home<li>Contact</ul><main><h1>{notice(i)[0]}</h1><p>{notice(i)[1]}</p><p>{notice(i)[2]}</p></main><div>Most read</div><div>All rights reserved</div></body></html>"
+    parsed = spark.createDataFrame([(ids[i], f"https://a.org/n/{i}", notice(i)[0], "\n".join(side[:3] + notice(i) + side[3:])) for i in range(6)], "doc_id string, url string, title string, body_text string")
+    raw = [(f"https://a.org/n/{i}", at, 200, bytearray(html(i).encode()), {"Content-Type": "text/html"}) for i in (0, 6, 6)] + [("https://a.org/n/7", at, 200, bytearray(html(7).encode("utf-16")), {}), ("https://a.org/x.pdf", at, 200, bytearray(b"%PDF-1.4"), {}), ("https://a.org/n/9", at, 404, bytearray(b"<p>Not found</p>"), {})]
+    raw += [("https://a.org/n/0", at + dt.timedelta(days=k), 200, bytearray(html(0).encode()), {"Content-Type": "text/html"}) for k in range(1, 5)]
+    again = {hashlib.sha256(f"https://a.org/n/0|2024-01-0{k + 1}T00:00:00+00:00".encode()).hexdigest()[:16] for k in range(1, 5)}
+    raw = spark.createDataFrame(raw, "url string, fetched_at timestamp, http_status int, content_bytes binary, headers map<string,string>")
+    got = [tuple(r) for r in page_body.main_bodies(parsed, raw).collect()]
+    assert sorted(got) == sorted([(k, "\n".join(notice(i))) for i, k in enumerate(ids)] + [(k, "\n".join(notice(0))) for k in again])
