@@ -569,6 +569,12 @@ def stream_ngram_state(spark: SparkSession, d: str) -> DataFrame:
     return state.run_to_table(state.ngram_counts(state.read_files(spark, f"{d}/sources.parquet"), "adapter", "name"), "complete")
 
 
+@query(_NGRAMS + "SELECT site, ngram, sum(n)::BIGINT AS n FROM c GROUP BY site, ngram")
+def stream_ngram_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The n-gram state of each source's documents, over their whole texts."""
+    return state.run_to_table(state.ngram_counts(state.read_files(spark, f"{d}/documents.parquet"), "source", "text"), "complete")
+
+
 @query("""SELECT url, arg_max(etag, struct_pack(a := fetched_at, b := coalesce(etag, ''), c := coalesce(last_modified, ''))) AS etag FROM raw_documents WHERE etag IS NOT NULL GROUP BY url""")
 def stream_validators(spark: SparkSession, d: str) -> DataFrame:
     s = state.read_files(spark, f"{d}/raw_documents.parquet").select("url", "fetched_at", "etag", "last_modified").where("etag IS NOT NULL")

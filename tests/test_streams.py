@@ -43,3 +43,14 @@ def test_windows_sessions_and_counts(spark, tmp_path):
     assert sorted(r["n"] for r in state.run_to_table(state.sessions(s, "ts", ["k"]), "complete").collect()) == [1, 2]
     n = _files(spark, tmp_path / "n", [[("a", "abcde"), ("a", None)], [("a", "abcd"), ("b", "abc")]], "site string, text string")
     assert {(r["site"], r["ngram"]): r["n"] for r in state.run_to_table(state.ngram_counts(n, "site", "text"), "complete").collect()} == {("a", "abcd"): 2, ("a", "bcde"): 1}
+
+
+def test_ngram_state_of_documents(spark, tmp_path):
+    from docforge.operators import ngrams
+    from docforge.plans import catalog
+
+    docs = spark.createDataFrame([("a", "abcde abcde"), ("a", "abc"), ("b", "für für die Bank" * 50), (None, "abcd"), ("a", None)], "source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {tuple(r) for r in catalog.queries()["stream_ngram_documents"](spark, str(tmp_path)).select("site", "ngram", "n").collect()}
+    want = {tuple(r) for r in ngrams.totals(docs, "source", "text").select("site", "ngram", "n").collect()}
+    assert {x for x in got if x[0]} == {x for x in want if x[0]} and ("a", "abcd", 2) in got and ("b", "für ", 100) in got
