@@ -2,16 +2,19 @@
 
 Characters are mapped back to the bytes of a legacy code page by a lookup table; over those bytes runs
 the automaton of well-formed UTF-8 (a lead byte and its one to three followers), on whole arrays of
-characters at once. A sequence counts if what it decodes to can occur in the languages at hand; the
-maximal spans of such sequences are decoded and nothing else, again and again while spans remain, since
-text can be garbled more than once. What no longer has its bytes (U+FFFD, C1 controls from a code page,
-cut sequences, one legacy page read as another) is found by its traces.
+characters at once. A sequence counts by evidence: it decodes to a character that can stand alone, or
+next to it is another one of the same script, of whatever language; the maximal spans of such sequences
+are decoded and nothing else, again and again while spans remain, since text can be garbled more than
+once. What no longer has its bytes (U+FFFD, C1 controls from a code page, cut sequences, one legacy page
+read as another) is found by its traces; Cyrillic read by another page only if its letters are likelier so.
 """
 
 from __future__ import annotations
 
 import codecs
+import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +28,9 @@ from docforge.llm.arrow import codepoints, slices
 PAGES = ("cp1252", "cp1251", "mac_roman", "cp437", "cp850", "koi8-r", "cp1250")
 #: Garbling is undone at most so many times over.
 PASSES = 4
-NONE = 0
 
-_EXPECTED = ((0x80, 0xFF), (0x152, 0x153), (0x160, 0x161), (0x178, 0x178), (0x17D, 0x17E), (0x192, 0x192), (0x2C6, 0x2C6), (0x2DC, 0x2DC), (0x401, 0x45F), (0x900, 0x97F), (0x2000, 0x206F), (0x20A0, 0x20CF), (0x2100, 0x214F), (0x2190, 0x22FF), (0x2500, 0x259F), (0xFB00, 0xFB06), (0xFEFF, 0xFEFF), (0xFFFD, 0xFFFD))
+#: Characters that ordinary text in any language holds one at a time: a single sequence may stand for one of them.
+_ALONE = ((0x80, 0xFF), (0x152, 0x153), (0x160, 0x161), (0x178, 0x178), (0x17D, 0x17E), (0x192, 0x192), (0x2C6, 0x2C6), (0x2DC, 0x2DC), (0x401, 0x45F), (0x900, 0x97F), (0x2000, 0x206F), (0x20A0, 0x20CF), (0x2100, 0x214F), (0x2190, 0x22FF), (0x2500, 0x259F), (0xFB00, 0xFB06), (0xFEFF, 0xFEFF), (0xFFFD, 0xFFFD))
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -48,70 +51,194 @@ def page_table(page: str) -> np.ndarray:
     return _tables[page]
 
 
-def expected() -> np.ndarray:
-    if "" not in _tables:
-        out = np.zeros(0x110000, dtype=bool)
-        for a, b in _EXPECTED:
-            out[a : b + 1] = True
-        _tables[""] = out
-    return _tables[""]
+def kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(may stand alone, letter or mark, assigned) of each code point."""
+    if "alone" not in _tables:
+        names = [unicodedata.category(chr(c)) for c in range(0x110000)]
+        _tables["letter"] = np.fromiter((x[0] in "LM" for x in names), dtype=bool, count=len(names))
+        _tables["assigned"] = np.fromiter((x not in ("Cn", "Co", "Cs") for x in names), dtype=bool, count=len(names))
+        alone = np.zeros(0x110000, dtype=bool)
+        for a, b in _ALONE:
+            alone[a : b + 1] = True
+        alone[0x10000:] = True  # four bytes in a row are no accident
+        _tables["alone"] = alone & _tables["assigned"]
+    return _tables["alone"], _tables["letter"], _tables["assigned"]
 
 
-def sequences(cp: np.ndarray, page: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, decoded character) of each well-formed multibyte sequence with an expected character."""
+def sequences(cp: np.ndarray, page: str, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, decoded character) of each well-formed multibyte sequence that counts.
+
+    ``ends`` are the ends of the texts that ``cp`` joins, each closed by a character outside of all pages.
+    A sequence counts by itself if it decodes to a character that may stand alone, unless it is what right text
+    can hold; next to another one of the same script; and where such ones are in the same text.
+    """
     b = page_table(page)[np.minimum(cp, 0xFFFF)]
     high = np.flatnonzero((b >= 0xC2) & (b <= 0xF4))
     high = high[high + 1 < len(b)]
     high = high[(b[high + 1] & 0xC0) == 0x80]
     if not len(high):
         return high, high, high
-    pad = np.zeros(3, b.dtype)
-    x = np.concatenate((b, pad))
+    alone, letter, assigned = kinds()
+    x = np.concatenate((b, np.zeros(3, b.dtype)))
     b0, b1, b2, b3 = (x[high + k].astype(np.int64) for k in range(4))
     size = np.where(b0 < 0xE0, 2, np.where(b0 < 0xF0, 3, 4))
     third, fourth = (b2 & 0xC0) == 0x80, (b3 & 0xC0) == 0x80
     value = np.where(size == 2, (b0 & 0x1F) << 6 | b1 & 0x3F, np.where(size == 3, (b0 & 0xF) << 12 | (b1 & 0x3F) << 6 | b2 & 0x3F, (b0 & 7) << 18 | (b1 & 0x3F) << 12 | (b2 & 0x3F) << 6 | b3 & 0x3F))
     fine = (size == 2) | ((size == 3) & third & (value >= 0x800)) | ((size == 4) & third & fourth & (value >= 0x10000) & (value < 0x110000))
-    fine &= expected()[np.minimum(value, 0x10FFFF)]
+    fine &= assigned[np.minimum(value, 0x10FFFF)]
     at, size, value = high[fine], size[fine], value[fine]
-    if page == "cp1251" and len(at):
+    if not len(at):
+        return at, size, value
+    script = np.where(value >= 0x10000, 3, np.where(value >= 0x2E80, 2, np.where(value < 0x250, 1, value >> 7 << 2)))
+    touch = at[1:] == at[:-1] + size[:-1]
+    alike = touch & (script[1:] == script[:-1]) & letter[value[1:]] & letter[value[:-1]]
+    linked, chain = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+    linked[1:] |= touch
+    linked[:-1] |= touch
+    chain[1:] |= alike
+    chain[:-1] |= alike
+    before, first, second = cp[np.maximum(at - 1, 0)], cp[at], cp[at + 1]
+    after = cp[np.minimum(at + size, len(cp) - 1)]
+    single = alone[value] & ((script < 4 << 1) | (value < 0x401) | (value > 0x45F) | linked)  # one Cyrillic letter is no word
+    if page in ("cp1252", "cp1250"):
+        # an accented capital before a closing quotation mark, after a capital
+        closing = (second >= 0x2013) & (second <= 0x201D) | (second == 0xBB) | (second == 0x2026)
+        capital = (before >= 65) & (before <= 90) | (before >= 0xC0) & (before <= 0xDE) | np.isin(before, (0xAB, 0x2018, 0x201C, 0x201E))
+        single &= linked | ~(closing & capital & ~letter[after]) | (size > 2)
+    else:
+        # two letters of right text: all of a sequence's characters are letters
+        latin = lambda c: (c >= 65) & (c <= 90) | (c >= 97) & (c <= 122)
+        inside = (first > 0x24F) & (value < 0x250) & (latin(before) | latin(after))  # letters of another script inside a Latin word
+        wide = cp[np.maximum(at - 2, 0)], cp[np.minimum(at + size + 1, len(cp) - 1)]
+        inside |= (first > 0x24F) & (value >= 0xC0) & (value < 0x100) & (before == 32) & (after == 32) & latin(wide[0]) & latin(wide[1])  # or between Latin words
+        single &= linked | ~(letter[first] & letter[second]) | inside | (size > 2)
+    if page == "cp1251":
         # an upper-case letter before a quotation mark, inside a Cyrillic word, is ordinary Russian
-        before = cp[np.maximum(at - 1, 0)]
-        linked = np.zeros(len(at), dtype=bool)
-        linked[1:] |= at[1:] == at[:-1] + size[:-1]
-        linked[:-1] |= at[1:] == at[:-1] + size[:-1]
-        ok = linked | ~((before >= 0x400) & (before < 0x460) & (at > 0))
-        at, size, value = at[ok], size[ok], value[ok]
-    if page == "mac_roman" and len(at):
-        # a dash before an accented letter alone is ordinary, a chain of them is not
-        linked = np.zeros(len(at), dtype=bool)
-        linked[1:] |= at[1:] == at[:-1] + size[:-1]
-        linked[:-1] |= at[1:] == at[:-1] + size[:-1]
-        ok = linked | ~((value >= 0x400) & (value < 0x460))
-        at, size, value = at[ok], size[ok], value[ok]
-    return at, size, value
-
-
-#: What is left of wrongly decoded text where the bytes can't be read off any more.
-TRACES = re.compile(
-    "\ufffd"  # bytes that were replaced
-    "|[\x80-\x9f]"  # Windows punctuation read as Latin-1
-    "|[À-ÖØ-öø-ÿ]{3}"  # Cyrillic of one byte read as Latin
-    "|[A-Za-z][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-z]"  # Latin of one byte read as Cyrillic
-    "|[а-яё][А-ЯЁ]"  # one Cyrillic page read as another: the cases are swapped
-    "|â\\??[€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ¬¹]"  # a cut sequence of three
-    "|[ÃÂ]\\?|[ÃÂ](?=[a-z])|(?<=[a-z])[ÃÂ](?![a-z])"  # a cut sequence of two
-)
+        single &= linked | ~((before >= 0x400) & (before < 0x460) & (at > 0))
+    ok = single | chain
+    if chain.any() and not ok.all():
+        text = np.searchsorted(ends, at, side="right") if ends is not None else np.zeros(len(at), dtype=np.int64)
+        key = text * 0x10000 + script
+        ok |= np.isin(key, key[chain]) & (linked | ~letter[before] | ~letter[after])
+    return at[ok], size[ok], value[ok]
+
+
+# Letters of Russian text by frequency, in hundredths of a per cent.
+_RUSSIAN = dict(zip("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё", (1097, 845, 801, 735, 670, 626, 547, 473, 454, 440, 349, 321, 298, 281, 262, 201, 190, 174, 170, 165, 159, 144, 121, 97, 94, 73, 64, 48, 36, 32, 26, 4, 4)))
+_PLAUSIBLE = {c: math.log(n / 100) for c, n in _RUSSIAN.items()}
+_UNLIKELY = -4.0
+
+
+def plausible(text: str) -> float:
+    """How far the letters of a text are those of Russian, by their mean log frequency."""
+    letters = [c for c in text.lower() if c.isalpha()]
+    return sum(_PLAUSIBLE.get(c, _UNLIKELY) for c in letters) / max(1, len(letters))
+
+
+def _other_page(source: str, target: str) -> dict[int, str]:
+    """Each high character of a code page as its byte reads in another one."""
+    out = {}
+    for b in range(0x80, 0x100):
+        x, y = bytes([b]).decode(source, "ignore"), bytes([b]).decode(target, "ignore")
+        if x and y and x != "\xa0":
+            out[ord(x)] = y
+    return out
+
+
+_SWAPS = tuple(_other_page(a, b) for a, b in (("koi8-r", "cp1251"), ("cp1251", "koi8-r")))
+_ONE_BYTE = tuple(_other_page("latin-1", p) for p in ("cp1251", "koi8-r", "iso8859-5"))
+_LATIN = _other_page("cp1251", "cp1252")
+
+# Bytes that were replaced, or Windows punctuation read as Latin-1.
+_LOST = re.compile("[\ufffd\x80-\x9f]")
+# What is left of a sequence of three that stood for a quotation mark or dash, one of its characters gone.
+_CUT_THREE = re.compile("â\\??[€‚ƒ„†‡ˆ‰Š‹ŒŽ•˜™š›œžŸ¬¹]|(?<![^\\W\\d_])â\\??[‘’“”–—…]|â\\?[‘’“”–—…]")
+# What is left of a sequence of two: the second character was replaced, or was a blank that can't be told.
+_CUT_TWO = re.compile("(?<![A-ZÀ-Þ])[ÃÂ]\\?|(?<=[a-zß-ÿ])[ÃÂ](?![A-ZÀ-Þ])")
+# Runs of accented letters only: Cyrillic of one byte a letter read as Latin.
+_ACCENTED = re.compile("(?<![A-Za-z])[À-ÿ]+(?:[^A-Za-zÀ-ÿ]+[À-ÿ]+)*(?![A-Za-z])")
+# Words whose cases are swapped: one Cyrillic page read as another.
+_SWAPPED = re.compile("(?<![Ѐ-ӿ])[а-яё]?[А-ЯЁ]+(?![Ѐ-ӿ])(?:[\\W\\d_]+[а-яё]?[А-ЯЁ]+(?![Ѐ-ӿ]))*")
+_LOW_HIGH = re.compile("(?<![Ѐ-ӿ])[а-яё][А-ЯЁ]+(?![Ѐ-ӿ])")
+# Cyrillic letters inside Latin words: Latin of one byte read as Cyrillic.
+_MIXED = re.compile("(?<=[A-Za-z])[Ѐ-ӿ]{1,2}(?=[a-z])|(?<![Ѐ-ӿ\\w])[Ѐ-ӿ](?=[a-z]{2})|(?<=[a-z]{3})й(?!\\w)")
+
+
+def _decoded_run(m: re.Match) -> str | None:
+    """A run of accented letters as Cyrillic, if that is what it is."""
+    if not re.search("[À-ÖØ-öø-ÿ]{3}", m[0]):
+        return None
+    n = sum("À" <= c <= "ÿ" for c in m[0])
+    best = max((m[0].translate(t) for t in _ONE_BYTE), key=lambda t: plausible(t) + (0.5 if t[1:] == t[1:].lower() else 0))
+    return best if (n >= 4 and plausible(best) >= 1.25) or (n >= 6 and plausible(best) >= 0.8) else None
+
+
+def _unswapped(m: re.Match) -> str | None:
+    """Words with swapped cases as the other Cyrillic page has them, if that is more likely."""
+    if not _LOW_HIGH.search(m[0]):
+        return None
+    best = max((m[0].translate(t) for t in _SWAPS), key=plausible)
+    n = sum(c.isalpha() for c in m[0])
+    gain = plausible(best) - plausible(m[0])
+    return best if gain >= 0.4 and gain * n >= 3 else None
+
+
+def traced(text: str) -> bool:
+    """Whether a text holds what is left of wrongly decoded characters whose bytes can't be read off any more."""
+    return (
+        _LOST.search(text) is not None
+        or _CUT_THREE.search(text) is not None
+        or _CUT_TWO.search(text) is not None
+        or _MIXED.search(text) is not None
+        or any(_decoded_run(m) for m in _ACCENTED.finditer(text))
+        or any(_unswapped(m) for m in _SWAPPED.finditer(text))
+    )
+
+
+def trace_count(text: str) -> int:
+    """How many traces a text holds."""
+    regular = sum(1 for p in (_LOST, _CUT_THREE, _CUT_TWO, _MIXED) for _ in p.finditer(text))
+    return regular + sum(len(m[0]) for p, f in ((_ACCENTED, _decoded_run), (_SWAPPED, _unswapped)) for m in p.finditer(text) if f(m))
+
+
+def _classes() -> np.ndarray:
+    """Bits of each character up to U+FFFF: 1 lost, 2 accented, 4 ASCII letter, 8 and 16 lower and upper Cyrillic, 32 â, 64 Ã or Â."""
+    if "classes" not in _tables:
+        out = np.zeros(0x10000, dtype=np.uint8)
+        out[0x80:0xA0] = out[0xFFFD] = 1
+        out[0xC0:0x100] = 2
+        out[0xD7] = out[0xF7] = 0
+        out[65:91] = out[97:123] = 4
+        out[0x400:0x430], out[0x430:0x500] = 16, 8
+        out[0xE2] |= 32
+        out[0xC2] |= 64
+        out[0xC3] |= 64
+        _tables["classes"] = out
+    return _tables["classes"]
+
+
+def _suspects(cp: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The texts in which a trace is possible, from pairs of neighbouring characters."""
+    x = _classes()[np.minimum(cp, 0xFFFF)]
+    at = [np.flatnonzero(x & (1 | 64)), np.flatnonzero((x[:-2] & 2) & (x[1:-1] & 2) & (x[2:] & 2))]
+    left, right = x[:-1], x[1:]
+    at.append(np.flatnonzero(((left & 4) != 0) & ((right & 24) != 0) | ((left & 24) != 0) & ((right & 4) != 0) | ((left & 8) != 0) & ((right & 16) != 0)))
+    follow = cp[1:]
+    at.append(np.flatnonzero(((left & 32) != 0) & ((follow == 63) | (follow >= 0x80) & (x[1:] & 2 == 0))))
+    return np.unique(np.searchsorted(ends, np.concatenate(at), side="right"))
+
+
+def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    cp = codepoints("\0".join(texts) + "\0")
+    return cp, np.cumsum(np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts)))
 
 
 def any_sequence(texts: list[str]) -> np.ndarray:
     """For each text, whether the automaton accepts a span in it."""
-    joined = "\0".join(texts) + "\0"
-    cp = codepoints(joined)
-    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts)))
+    cp, ends = _joined(texts)
     hit = np.zeros(len(texts), dtype=bool)
     for page in PAGES:
-        at, _, _ = sequences(cp, page)
+        at, _, _ = sequences(cp, page, ends)
         if len(at):
             hit[np.searchsorted(ends, at, side="right")] = True
     return hit
@@ -124,16 +251,17 @@ def garbled(texts: list[str | None]) -> np.ndarray:
     if which:
         some = [texts[i] for i in which]
         found = any_sequence(some)
-        out[which] = [bool(f) or TRACES.search(t) is not None for f, t in zip(found, some)]
+        for i in _suspects(*_joined(some)):
+            if not found[i]:
+                found[i] = traced(some[i])
+        out[which] = found
     return out
 
 
 def restore(text: str) -> str:
     """The text with its spans decoded, by the code page that explains most characters in each pass."""
-    if re.search("[À-ÖØ-öø-ÿ]{3}", text):
-        text = re.sub("[À-ÿ]{2,}|(?<![A-Za-z])[À-ÿ](?![A-Za-z])", _cyrillic, text)
     for _ in range(PASSES):
-        cp = codepoints(text)
+        cp = codepoints(text + "\0")
         best, most = None, 0
         for page in PAGES:
             at, size, value = sequences(cp, page)
@@ -144,32 +272,25 @@ def restore(text: str) -> str:
         at, size, value = best
         out = cp.astype(np.uint32).copy()
         keep = np.ones(len(cp), dtype=bool)
+        keep[-1] = False
         out[at] = value
         for k in (1, 2, 3):
             keep[at[size > k] + k] = False
         text = out[keep].tobytes().decode("utf-32-le", "surrogatepass")
+    text = _ACCENTED.sub(lambda m: _decoded_run(m) or m[0], text)
     # Windows punctuation that went through as C1 controls
     text = re.sub("[\x80-\x9f]", lambda m: m[0].encode("latin-1").decode("cp1252", "ignore") or m[0], text)
-    if re.search("[а-яё][А-ЯЁ]", text):
-        text = re.sub("[Ѐ-ӿ]+", _swapped, text)
-    return text
-
-
-def _cyrillic(m: re.Match) -> str:
-    b = m[0].encode("latin-1")
-    return max((b.decode(p) for p in ("cp1251", "koi8-r", "iso-8859-5")), key=lambda t: sum("а" <= c <= "я" for c in t[1:]))
+    text = _CUT_THREE.sub(_punctuation, text)
+    # the second half of à is a blank, or was replaced
+    text = re.sub("(?<=[a-zß-ÿ])Ã(?:\\?|(?=[\\s.,;:)]|$))", "à", text)
+    text = _MIXED.sub(lambda m: m[0].translate(_LATIN), text)
+    return _SWAPPED.sub(lambda m: _unswapped(m) or m[0], text)
 
 
-def _swapped(m: re.Match) -> str:
-    def tries():
-        yield m[0]
-        for a, b in (("koi8-r", "cp1251"), ("cp1251", "koi8-r")):
-            try:
-                yield m[0].encode(a).decode(b)
-            except UnicodeError:
-                pass
-
-    return max(tries(), key=lambda t: sum("а" <= c <= "я" for c in t[1:]) + ("а" <= t[0] <= "я" and len(t) < 3))
+def _punctuation(m: re.Match) -> str:
+    """The quotation mark or dash of whose three characters the second is gone; one with two bytes gone stays."""
+    b = m[0][-1].encode("cp1252", "ignore")
+    return bytes((0xE2, 0x80)).__add__(b).decode("utf-8", "ignore") or m[0] if b and b != b"\x80" else m[0]
 
 
 _META = re.compile(rb"<meta[^>]{0,200}?charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
@@ -285,7 +406,7 @@ def original(headers, data: bytes) -> str:
                 tried.append(data.decode(page, "replace" if page in FALLBACKS else "strict"))
             except (UnicodeError, LookupError):
                 pass
-        text = min(tried, key=lambda t: sum(1 for _ in TRACES.finditer(t)))
+        text = min(tried, key=trace_count)
     text = text.removeprefix("\ufeff")
     return restore(text) if garbled([text])[0] else text
 

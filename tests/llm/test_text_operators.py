@@ -73,6 +73,31 @@ def test_site_lines_in_many_buckets(spark, monkeypatch):
     assert len(got) == 300 and {r["line_no"] for r in got} == {1}
 
 
+RIGHT = ["Âmbito de aplicação do regulamento", "Ângela Merkel visitou", "Компания МегаФон сообщила", "ПриватБанк опубликовал отчёт", "Правила ВТБ24 и еврОпа", "ребёнок", "“Ñ”", "Рёбра", "“IRMÔ", "voilà\xa0»", "日本語", "æøå", "мРНК", "éèê", "Ελληνικά", "العربية", "emoji 😀", "Україна Рівне", "“Â”", "AMANHÃ? NÃO", "Łódź příští", "한국어", "中文 “字”", "İstanbul", "ГОСТ и СНиП", "Þórður Ægir"]
+
+
+@pytest.mark.parametrize("t", RIGHT)
+def test_names_and_other_scripts_are_left_alone(t):
+    assert not garbled.garbled([t])[0] and garbled.restore(t) == t
+
+
+def test_right_samples_are_left_alone(spark):
+    rows = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/language_samples.parquet").select("text").collect()]
+    assert not garbled.garbled(rows).any() and [garbled.restore(t) for t in rows] == rows
+
+
+@pytest.mark.parametrize("t", ["日本語", "Ελληνικά γλώσσα", "العربية هنا", "see 😀 ok", "עברית", "ภาษาไทย", "한국어", "Москва"])
+@pytest.mark.parametrize("page", ["latin-1", "cp1252", "cp1251", "mac_roman", "cp437", "cp850"])
+def test_other_scripts_come_back(t, page):
+    bad = "".join(bytes([b]).decode(page, "ignore") or chr(b) for b in t.encode())
+    assert garbled.garbled([bad])[0] and garbled.restore(bad) == t
+
+
+@pytest.mark.parametrize("bad, right", [("dâ™impatto", "d’impatto"), ("â?œelectronic", "“electronic"), ("liquiditÃ resti", "liquidità resti"), ("societÃ? di", "società di"), ("рП ЪБРТПУХ Tem", "По запросу Tem"), ("оБ УТПЛ 38 МЕФ", "На срок 38 лет"), ("Ïóíêò 4764 äëÿ", "Пункт 4764 для"), ("dйlai", "délai"), ("il depositario ГЁ tenuto", "il depositario è tenuto"), ("GroГџhГ¤ndler Гјber", "Großhändler über")])
+def test_traces_are_restored(bad, right):
+    assert garbled.garbled([bad])[0] and garbled.restore(bad) == right
+
+
 CLEAN = ["Café – naïve users", "L’émetteur à la carte", "COMUNICAÇÃO, AVALIAÇÃO; PORTUGUÊS", "créée “É” «À»", "Ünïcode ß Größe", "यदि दो विवरण", "Текст «РФ» — «АБВ» № 5", "price 5 €, 7 ₹", "plain ascii", "¿Qué? ¡Sí! señor", "à : é !"]
 
 
