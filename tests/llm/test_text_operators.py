@@ -185,6 +185,49 @@ def test_languages_table(spark, model):
     assert languages.languages(df.limit(0), fitted).count() == 0
 
 
+OTHERS = {
+    "zh": ["委员会应当在每年年底前向公众提交报告。", "银行必须保存客户的记录至少五年。", "本通知自公布之日起施行，并适用于所有机构。", "监管机构可以要求机构提供更多的资料。"],
+    "ja": ["銀行は顧客の記録を五年間保存しなければならない。", "委員会は毎年の終わりに報告書を公表する。", "この通知は公布の日から施行される。", "監督官庁は機関に資料の提出を求めることができる。"],
+    "ko": ["은행은 고객의 기록을 오 년 동안 보관하여야 한다.", "위원회는 매년 말에 보고서를 공개한다.", "이 통지는 공포한 날부터 시행한다.", "감독 기관은 자료의 제출을 요구할 수 있다."],
+    "el": ["Η τράπεζα οφείλει να τηρεί τα αρχεία των πελατών για πέντε έτη.", "Η επιτροπή δημοσιεύει την έκθεση στο τέλος του έτους.", "Η παρούσα ανακοίνωση ισχύει από τη δημοσίευσή της.", "Η εποπτική αρχή μπορεί να ζητήσει περισσότερα στοιχεία."],
+    "ar": ["يجب على البنك أن يحتفظ بسجلات العملاء لمدة خمس سنوات.", "تنشر اللجنة التقرير في نهاية كل سنة.", "يسري هذا الإشعار من تاريخ نشره.", "يجوز للجهة الرقابية أن تطلب المزيد من البيانات."],
+}
+
+
+HELD = {"zh": "银行应当每年向监管机构提交客户的资料。", "ja": "委員会は資料を保存しなければならない。", "ko": "은행은 매년 자료를 공개한다.", "el": "Η τράπεζα δημοσιεύει τα στοιχεία των πελατών.", "ar": "تنشر الجهة الرقابية البيانات في نهاية السنة."}
+
+
+@pytest.fixture(scope="module")
+def wider(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/language_samples.parquet").select("lang", "text").collect()]
+    return languages.LanguageFilter.fit(rows + [(k, t) for k, v in OTHERS.items() for t in v])
+
+
+def test_thirteen_languages_in_all_scripts(wider):
+    assert len(wider.languages) == 13
+    for k, v in OTHERS.items():
+        for t in [*v, HELD[k]]:
+            assert [x[:2] for x in languages.assign(wider, [t])[0]] == [(0, k)], t
+    mixed = "\n".join([OTHERS["zh"][0], OTHERS["el"][1], "", OTHERS["ja"][2]])
+    assert [x[:2] for x in languages.assign(wider, [mixed])[0]] == [(1, "zh"), (2, "el"), (4, "ja")]
+
+
+def test_more_languages_than_one_plane_holds():
+    random.seed(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{i:03}": ["".join(random.choices(letters, k=7)) for _ in range(40)] for i in range(150)}
+    model = languages.LanguageFilter.fit([(k, " ".join(w)) for k, w in own.items()])
+    assert len(model.planes) == 3
+    got = languages.assign(model, [" ".join(random.sample(w, 12)) for w in own.values()])
+    assert [x[0][1] for x in got] == list(own)
+
+
+def test_short_lines_of_a_second_language_add_up(wider):
+    text = "Die Bank muss die Unterlagen der Kunden mindestens fünf Jahre lang aufbewahren.\nque la banque\npour les clients\ndans ce délai"
+    assert [x[:2] for x in languages.assign(wider, [text])[0]] == [(1, "de"), (2, "fr"), (3, "fr"), (4, "fr")]
+    assert languages.LanguageFilter.fit([]).languages == [] and languages.assign(languages.LanguageFilter.fit([]), ["a text"]) == [[]]
+
+
 def page(items: bool = True) -> tuple[str, set[int]]:
     lines = ["Regulator", "Home", "Contact", "", "A title of the notice", "Share | Print", "10 March 2020", "The depositary shall file the annual report with the desk by the end of the year.", "A first entry of the", "A second entry of the", "The registrar may review the report in both working languages of the desk.", "Most read", "Another notice says that the", "A third one says", "© 2020 Regulator. All rights reserved.", "Back to top"]
     return "\n".join(lines), {1, 2, 3, 6, 12, 13, 14, 15, 16}
