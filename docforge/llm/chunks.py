@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
-from docforge.llm.words import bare_words
+from docforge.llm.words import word_hashes
 
 #: A chunk ends where the rolling hash of the last two words has its low bits zero, on average once in so many words.
 WINDOW = 2
-DIVISOR = 3
-#: Texts of up to so many words are cut a second time, more finely: one edit spoils a larger part of them. At this length
-#: the first cut alone finds nearly all, so a pair with one text on either side of it is not lost.
-SHORT_WORDS = 80
-SHORT_DIVISOR = 2
+DIVISOR = 2
 SHINGLE = 3
+#: The low bits of a chunk's number hold its bytes (longer ones count as this many), the others its hash.
+BYTES = 255
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -25,19 +22,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def unique_in(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, key) in order, each pair once."""
+    order = np.lexsort((key, owner))
+    owner, key = owner[order], key[order]
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
+    return owner[new], key[new]
+
+
 class Words:
     """Word hashes of several texts in one array."""
 
     def __init__(self, texts: list[str | None]):
-        words = [bare_words(t) if t else [] for t in texts]
-        self.count = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        known: dict[str, int] = {}
-        flat = [w for ws in words for w in ws]
-        for w in set(flat):
-            known[w] = xxhash.xxh64_intdigest(w)
-        self.hash = np.fromiter((known[w] for w in flat), dtype=np.uint64, count=len(flat))
-        self.size = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat))
-        self.owner = np.repeat(np.arange(len(texts)), self.count)
+        self.hash, self.size, self.owner = word_hashes(texts)
+        self.count = np.bincount(self.owner, minlength=len(texts))
         self.first = np.concatenate(([0], np.cumsum(self.count)))
 
     def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,19 +59,59 @@ class Words:
             upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(each, dtype=np.uint64)))
             return mix(upto[self.first[1:]] - upto[self.first[:-1]] + self.count.astype(np.uint64) * _A)
 
-    def chunks(self, divisor: int, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, hash, bytes) of each chunk."""
+    def chunks(self) -> tuple[np.ndarray, np.ndarray]:
+        """(text, number) of each different chunk of each text, in order; a number is a hash and, in its low bits, the bytes."""
         n = len(self.hash)
         if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         end = np.zeros(n, dtype=bool)
         roll, start = self.runs(WINDOW)
-        end[start + WINDOW - 1] = roll % np.uint64(divisor) == 0
+        end[start + WINDOW - 1] = roll % np.uint64(DIVISOR) == 0
         end[self.first[1:][self.count > 0] - 1] = True
         stop = np.flatnonzero(end)
         begin = np.concatenate(([0], stop[:-1] + 1))
         place = np.arange(n) - np.repeat(begin, stop - begin + 1)
         with np.errstate(over="ignore"):
             each = mix(self.hash + mix(place.astype(np.uint64) + _A))
-            key = mix(np.add.reduceat(each, begin) + (stop - begin + 1).astype(np.uint64) * _B + np.uint64(level))
-        return self.owner[begin], key, np.add.reduceat(self.size, begin)
+            key = mix(np.add.reduceat(each, begin) + (stop - begin + 1).astype(np.uint64) * _B)
+        size = np.minimum(np.add.reduceat(self.size, begin), BYTES).astype(np.uint64)
+        return unique_in(self.owner[begin], (key & ~np.uint64(BYTES)) | size)
+
+
+def weight(chunk: np.ndarray) -> np.ndarray:
+    """The bytes of chunks."""
+    return (chunk & np.uint64(BYTES)).astype(np.int64)
+
+
+#: Counters of the frequency sketch: chunks are ordered by what their counter holds.
+COUNTERS = 1 << 20
+
+
+def counter(chunk: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((chunk * _A) >> np.uint64(44)).astype(np.int64)
+
+
+def bits(chunk: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of a chunk in a filter of ``size`` bits (a power of two)."""
+    x = mix(chunk)
+    return (x & np.uint64(size - 1)).astype(np.int64), ((x >> np.uint64(34)) & np.uint64(size - 1)).astype(np.int64)
+
+
+def prefix(owner: np.ndarray, chunk: np.ndarray, total: np.ndarray, rest: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(indices of the chunks that decide, bytes left out of each text, counter of each text's last chunk that decides).
+
+    Of each text the rarest chunks, until what is left over is less than the share ``rest`` of its bytes. The order
+    is that of the counters, then of the hash: the same for a chunk in every text.
+    """
+    often = frequency[counter(chunk)]
+    order = np.lexsort((chunk, often, owner))
+    own, size = owner[order], weight(chunk)[order]
+    upto = np.cumsum(size)
+    base = np.concatenate(([0], np.cumsum(np.bincount(own, weights=size, minlength=len(total)).astype(np.int64))))
+    spent = upto - size - base[own]
+    taken = spent <= total[own] * (1 - rest[own])
+    left = total - np.bincount(own[taken], weights=size[taken], minlength=len(total)).astype(np.int64)
+    edge = np.zeros(len(total), dtype=np.int64)
+    edge[own[taken]] = often[order[taken]]  # in order, so the last one stays
+    return order[taken], left, edge

@@ -71,16 +71,60 @@ def test_batch_by_batch_equals_all_at_once(spark, tmp_path):
     rows = [(d, t, b, c) for d, t, b, c in corpus(3, 80)]
     df = spark.createDataFrame(rows, KIND)
     path = str(tmp_path / "table")
-    history.append(history.chunk_table(df.where("batch_no = 0")), path)
+    history.accept(df.where("batch_no = 0"), path, 0)
     found = set()
     for n in (1, 2, 3):
         found |= {tuple(r) for r in history.new_batch(df.where(f"batch_no < {n}"), path, df.where(f"batch_no = {n}"), n).collect()}
     assert found == {tuple(r) for r in history.near_duplicates(df).collect()}
-    assert spark.read.parquet(path).select("k").distinct().count() == len(rows)
+    assert spark.read.parquet(f"{path}/chunks").select("k").distinct().count() == len(rows)
 
 
-def test_too_many_ids_are_shuffled(spark, monkeypatch):
-    monkeypatch.setattr(history, "BROADCAST_IDS", 0)
+def test_a_chunk_that_all_old_texts_have(spark, tmp_path):
+    """Its rows don't leave the tasks that read the table, and one batch makes no pairs of old texts."""
+    random.seed(8)
+    words = [f"w{i}" for i in range(30_000)]
+    common = "every page of this site ends with the same few words "
+    own = [" ".join(random.choices(words, k=40)) for _ in range(3000)]
+    old = spark.createDataFrame([(f"o{i}", common + t, 0, "x") for i, t in enumerate(own)], KIND)
+    new = spark.createDataFrame([(f"n{i}", common + t, 1, "x") for i, t in enumerate(own[:5] + [" ".join(random.choices(words, k=40)) for _ in range(20)])], KIND)
+    path = str(tmp_path / "table")
+    history.accept(old, path, 0)
+    got = {tuple(r) for r in history.new_batch(old, path, new, 1).collect()}
+    assert got == {(f"n{i}", f"o{i}") for i in range(5)}
+    frequency = history.as_array(spark.read.parquet(f"{path}/counters").select("block", "data"), history.c.COUNTERS, history.np.uint32, history.np.add)
+    table = spark.read.parquet(f"{path}/chunks")
+    fresh = history.deciding(table.where("batch = 1"), frequency)
+    wanted = history.filled(fresh.select("chunk"), 1 << 16)
+    assert history.deciding(table.where("batch = 0"), frequency, wanted).select("cls").distinct().count() < 400
+
+
+def test_recall_by_length(spark):
+    """Pairs at a similarity of 0.6 to 0.75, from 20 words on, around 80 words, too."""
+    random.seed(9)
+    words = [f"w{i}" for i in range(4000)]
+    rows, want = [], {}
+    for length in (20, 40, 78, 80, 82, 120, 300):
+        n = 0
+        while n < 60:
+            base = random.choices(words, k=length)
+            copy = list(base)
+            for _ in range(max(1, int(length * random.uniform(0.04, 0.12)))):
+                k = random.randrange(len(copy))
+                copy[k : k + 1] = random.choice(([], [random.choice(words)], [copy[k], random.choice(words)]))
+            if 0.6 <= jaccard(shingles(" ".join(base)), shingles(" ".join(copy))) < 0.75:
+                name = f"{length:04}-{n:02}"
+                rows += [(f"{name}a", " ".join(base), 1, "x"), (f"{name}b", " ".join(copy), 1, "x")]
+                want[f"{name}a", f"{name}b"] = length
+                n += 1
+    got = {tuple(r) for r in history.near_duplicates(spark.createDataFrame(rows, KIND)).collect()}
+    recall = {x: sum(want.get(p) == x for p in got) / 60 for x in sorted(set(want.values()))}
+    print(recall)
+    assert got <= set(want) and all(v >= (0.95 if k < 40 else 0.98) for k, v in recall.items())
+
+
+def test_full_filters_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(history, "MOST_BITS", 8)
+    monkeypatch.setattr(history, "LEAST_BITS", 8)
     rows = corpus(4, 30)
     got = {tuple(r) for r in history.near_duplicates(spark.createDataFrame(rows, KIND)).collect()}
     assert got == {p for p, j in brute(rows).items() if j >= 0.6 and p in got} and got
