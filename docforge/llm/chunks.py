@@ -9,6 +9,9 @@ from docforge.llm.words import word_hashes
 #: A chunk ends where the rolling hash of the last two words has its low bits zero, on average once in so many words.
 WINDOW = 2
 DIVISOR = 2
+#: A chunk is known by its words and those of the chunks after it, so many together: about six words, of which chunks
+#: of short and long reach have less in number than if a boundary were set once in six words.
+TOGETHER = 3
 SHINGLE = 3
 #: The low bits of a chunk's number hold its bytes (longer ones count as this many), the others its hash.
 BYTES = 255
@@ -75,7 +78,16 @@ class Words:
             each = mix(self.hash + mix(place.astype(np.uint64) + _A))
             key = mix(np.add.reduceat(each, begin) + (stop - begin + 1).astype(np.uint64) * _B)
         size = np.minimum(np.add.reduceat(self.size, begin), BYTES).astype(np.uint64)
-        return unique_in(self.owner[begin], (key & ~np.uint64(BYTES)) | size)
+        own, alone = self.owner[begin], key.copy()
+        full = np.ones(len(own), dtype=bool)
+        for j in range(1, min(TOGETHER, len(own))):
+            same = np.zeros(len(own), dtype=bool)
+            same[:-j] = own[j:] == own[:-j]
+            with np.errstate(over="ignore"):
+                key[:-j] = np.where(same[:-j], mix(key[:-j] + alone[j:] * np.uint64(j + 2)), key[:-j])
+            full &= same
+        full[np.flatnonzero(np.diff(own, prepend=-1))] = True  # a text of fewer chunks has one number, of them all
+        return unique_in(own[full], ((key & ~np.uint64(BYTES)) | size)[full])
 
 
 def weight(chunk: np.ndarray) -> np.ndarray:
@@ -83,13 +95,21 @@ def weight(chunk: np.ndarray) -> np.ndarray:
     return (chunk & np.uint64(BYTES)).astype(np.int64)
 
 
-#: Counters of the frequency sketch: chunks are ordered by what their counter holds.
-COUNTERS = 1 << 20
+#: Counters of the frequency sketch: chunks are ordered and weighted by what their counter holds.
+COUNTERS = 1 << 22
+#: A chunk weighs its bytes times the logarithm of how rare it is, to this power.
+POWER = 4
 
 
 def counter(chunk: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return ((chunk * _A) >> np.uint64(44)).astype(np.int64)
+        return ((chunk * _A) >> np.uint64(42)).astype(np.int64)
+
+
+def rarity(often: np.ndarray, counted: float) -> np.ndarray:
+    """What a byte of a chunk weighs, by its counter and the sum of all counters."""
+    texts = max(2.0, counted / 50)  # about so many texts; only differences between chunks count
+    return np.maximum(np.log(2 * texts / np.maximum(often, 1)), 0.5) ** POWER
 
 
 def bits(chunk: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,20 +118,20 @@ def bits(chunk: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (x & np.uint64(size - 1)).astype(np.int64), ((x >> np.uint64(34)) & np.uint64(size - 1)).astype(np.int64)
 
 
-def prefix(owner: np.ndarray, chunk: np.ndarray, total: np.ndarray, rest: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(indices of the chunks that decide, bytes left out of each text, counter of each text's last chunk that decides).
+def prefix(owner: np.ndarray, chunk: np.ndarray, rest: np.ndarray, frequency: np.ndarray, counted: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(indices of the chunks that decide, their weights, weight of each text, weight left out of it, counter of its last chunk that decides).
 
-    Of each text the rarest chunks, until what is left over is less than the share ``rest`` of its bytes. The order
+    Of each text the rarest chunks, until what is left over is less than the share ``rest`` of its weight. The order
     is that of the counters, then of the hash: the same for a chunk in every text.
     """
     often = frequency[counter(chunk)]
     order = np.lexsort((chunk, often, owner))
-    own, size = owner[order], weight(chunk)[order]
+    own, size = owner[order], (weight(chunk) * rarity(often, counted))[order]
+    total = np.bincount(own, weights=size, minlength=len(rest))
     upto = np.cumsum(size)
-    base = np.concatenate(([0], np.cumsum(np.bincount(own, weights=size, minlength=len(total)).astype(np.int64))))
-    spent = upto - size - base[own]
-    taken = spent <= total[own] * (1 - rest[own])
-    left = total - np.bincount(own[taken], weights=size[taken], minlength=len(total)).astype(np.int64)
-    edge = np.zeros(len(total), dtype=np.int64)
+    base = np.concatenate(([0.0], np.cumsum(total)))
+    taken = upto - size - base[own] <= total[own] * (1 - rest[own])
+    left = np.maximum(total - np.bincount(own[taken], weights=size[taken], minlength=len(rest)), 0)
+    edge = np.zeros(len(rest), dtype=np.int64)
     edge[own[taken]] = often[order[taken]]  # in order, so the last one stays
-    return order[taken], left, edge
+    return order[taken], size[taken], total, left, edge

@@ -3,8 +3,8 @@
 A text's words are cut where a rolling hash says so, hence equally in equal stretches. The chunk table keeps,
 for each accepted record, the numbers of its chunks with their bytes; it is computed once per record and appended
 to, and so are the counters of how often chunks occur. A batch is cut, counted and appended; then its chunks are
-looked up in the table, the bytes that pairs share are added up, and the coverage decides on candidates, which are
-compared exactly.
+looked up in the table, the bytes that pairs share are added up, weighted by how rare a chunk is, and the coverage
+decides on candidates, which are compared exactly.
 
 Only chunks that decide are looked up: of each text the rarest ones, until what is left over could not reach the
 coverage alone (prefix filtering). Chunks that stand in a large part of all texts come last in that order, as
@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,27 +40,27 @@ LEAST_BITS, MOST_BITS = 16, 28
 BLOCK, FAN = 1 << 16, 64
 #: Bits of a text's signature, one set for each of its shingles.
 SIGNATURE = 1024
-CHUNKS = "k {kind}, cls bigint, words int, total bigint, shingles int, chunks array<bigint>, signature array<bigint>"
+CHUNKS = "k {kind}, cls bigint, shingles int, chunks array<bigint>, signature array<bigint>"
 
 
-def coverage(words):
-    """Share of the larger text's bytes that a candidate pair has in common, by the words of the smaller one (arrays or Columns).
+def coverage(shingles):
+    """Share of the larger text's weight that a candidate pair has in common, by the shingles of the smaller one (arrays or Columns).
 
-    Measured on texts with edits all over: at a Jaccard similarity of 0.6 to 0.7 the share of 99.5 % of 400 pairs is
-    at least 0.28 at 20 words, 0.45 at 40, 0.51 at 80, 0.56 at 150 and 0.61 at 400.
+    Measured on records with edits all over, at a Jaccard similarity of 0.60 to 0.68: the share of 99.3 % of pairs is
+    at least 0.20 from 60 to 200 words, and 0.22 beyond; where all chunks are alike rare, it is 0.15 at 40 words, 0.27 at 80.
     """
-    least = 0.62 - 1.6 / (words**0.5)
-    return F.greatest(F.lit(0.02), least) if not isinstance(words, np.ndarray) else np.maximum(0.02, least)
+    least = 0.22 - 3.5 / shingles
+    return F.greatest(F.lit(0.02), least) if not isinstance(shingles, np.ndarray) else np.maximum(0.02, least)
 
 
-#: A similar text has at least this share of the other's words.
-FEWER = 0.55
+#: A similar text has at least this share of the other's shingles.
+FEWER = 0.6
 #: Share of the coverage that may be left out of the look-up; the less, the more is looked up and the fewer candidates remain.
 REST = 0.9
 
 
 def kept_chunks(records: DataFrame, id_col: str = "doc_id", text_col: str = "clean_text") -> DataFrame:
-    """(k, cls, words, total, shingles, chunks, signature): the rows that are kept for records.
+    """(k, cls, shingles, chunks, signature): the rows that are kept for records.
 
     Null and blank texts, garbled ones and texts of under three words have no row. Of copies in one task the first
     has the chunks and the signature, the others have none. Shingles is the number of different runs of three words.
@@ -79,7 +80,6 @@ def kept_chunks(records: DataFrame, id_col: str = "doc_id", text_col: str = "cle
                     seen.add(h)
                     carries[i] = True
             owner, chunk = words.chunks()
-            total = np.bincount(owner, weights=c.weight(chunk), minlength=len(texts)).astype(np.int64)
             kept = carries[owner]
             owner, chunk = owner[kept], chunk[kept]
             rows = np.flatnonzero(some)
@@ -91,8 +91,8 @@ def kept_chunks(records: DataFrame, id_col: str = "doc_id", text_col: str = "cle
             signature = np.packbits(marks[carries], axis=1, bitorder="little").view(np.int64)
             ends = np.concatenate(([0], np.cumsum(carries[rows]))) * (SIGNATURE // 64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("k").take(pa.array(rows, type=pa.int64())), pa.array(whole[rows]), pa.array(words.count[rows].astype(np.int32)), pa.array(total[rows]), pa.array(np.bincount(text, minlength=len(texts))[rows].astype(np.int32)), list_array(offsets, chunk.view(np.int64), pa.int64()), list_array(ends, signature.ravel(), pa.int64())],
-                ["k", "cls", "words", "total", "shingles", "chunks", "signature"],
+                [part.column("k").take(pa.array(rows, type=pa.int64())), pa.array(whole[rows]), pa.array(np.bincount(text, minlength=len(texts))[rows].astype(np.int32)), list_array(offsets, chunk.view(np.int64), pa.int64()), list_array(ends, signature.ravel(), pa.int64())],
+                ["k", "cls", "shingles", "chunks", "signature"],
             )
 
     kind = records.schema[id_col].dataType.simpleString()
@@ -159,52 +159,53 @@ def accept(records: DataFrame, path: str, batch: int, id_col: str = "doc_id", te
     gathered(added, count, c.COUNTERS, np.uint32, np.add).write.mode("overwrite").parquet(f"{path}/counters/batch={batch}")
 
 
-def deciding(rows: DataFrame, frequency: np.ndarray, filter_bits: np.ndarray | None = None) -> DataFrame:
-    """(chunk, cls, words, total, left_out, edge) of the chunks that decide, or of those among them that the filter has.
+def deciding(rows: DataFrame, frequency: Broadcast, filter_bits: np.ndarray | None = None) -> DataFrame:
+    """(chunk, weight, cls, shingles, total, left_out, edge) of the chunks that decide, or of those among them that the filter has.
 
     Edge is how often the last one that decides occurs: all rarer chunks of the text decide, too.
     """
-    spark = rows.sparkSession
-    sent = spark.sparkContext.broadcast((frequency, filter_bits))
+    sent = rows.sparkSession.sparkContext.broadcast(filter_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, wanted = sent.value
+        (often, counted), wanted = frequency.value, sent.value
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
                 part = whole.slice(start, ROWS)
                 owner, chunk = _flat(part.column("chunks"))
-                cls, words, total = (part.column(x).to_numpy(zero_copy_only=False) for x in ("cls", "words", "total"))
-                at, left, edge = c.prefix(owner, chunk, total, REST * coverage(words * FEWER), order)
+                cls, shingles = (part.column(x).to_numpy(zero_copy_only=False) for x in ("cls", "shingles"))
+                at, weight, total, left, edge = c.prefix(owner, chunk, REST * coverage(shingles * FEWER), often, counted)
                 if wanted is not None:
-                    at = at[inside(wanted, chunk[at])]
+                    kept = inside(wanted, chunk[at])
+                    at, weight = at[kept], weight[kept]
                 own = owner[at]
-                yield pa.RecordBatch.from_arrays([pa.array(chunk[at].view(np.int64)), pa.array(cls[own]), pa.array(words[own]), pa.array(total[own]), pa.array(left[own]), pa.array(edge[own])], ["chunk", "cls", "words", "total", "left_out", "edge"])
+                yield pa.RecordBatch.from_arrays([pa.array(chunk[at].view(np.int64)), pa.array(weight), pa.array(cls[own]), pa.array(shingles[own]), pa.array(total[own].astype(np.float32)), pa.array(left[own].astype(np.float32)), pa.array(edge[own])], ["chunk", "weight", "cls", "shingles", "total", "left_out", "edge"])
 
-    return rows.where(F.size("chunks") > 0).select("cls", "words", "total", "chunks").mapInArrow(run, "chunk bigint, cls bigint, words int, total bigint, left_out bigint, edge bigint")
+    return rows.where(F.size("chunks") > 0).select("cls", "shingles", "chunks").mapInArrow(run, "chunk bigint, weight double, cls bigint, shingles int, total float, left_out float, edge bigint")
 
 
 def candidates(spark: SparkSession, path: str, batch: int) -> DataFrame:
     """(a, b): pairs of classes, a < b, of a record of the batch and one accepted before or with it, whose chunks may cover enough of the larger text."""
     table = spark.read.parquet(f"{path}/chunks")
     counters = spark.read.parquet(f"{path}/counters").where(F.col("batch") <= batch).select("block", "data")
-    frequency = as_array(counters, c.COUNTERS, np.uint32, np.add)
+    often = as_array(counters, c.COUNTERS, np.uint32, np.add)
+    frequency = spark.sparkContext.broadcast((often, float(often.sum(dtype=np.float64))))
     fresh = materialise(deciding(table.where(F.col("batch") == batch), frequency), "fresh")
     size = 1 << min(MOST_BITS, max(LEAST_BITS, (16 * fresh.count()).bit_length()))
 
     wanted = filled(fresh.select("chunk"), size)
     old = deciding(table.where(F.col("batch") < batch), frequency, wanted)
     # one side is the batch: pairs of two old texts are never made
-    names = ["cls", "words", "total", "left_out", "edge"]
-    a = fresh.select("chunk", *(F.col(x).alias(f"{x}_a") for x in names))
+    names = ["cls", "shingles", "total", "left_out", "edge"]
+    a = fresh.select("chunk", "weight", *(F.col(x).alias(f"{x}_a") for x in names))
     b = old.withColumn("new", F.lit(False)).unionByName(fresh.withColumn("new", F.lit(True))).select("chunk", "new", *(F.col(x).alias(f"{x}_b") for x in names))
-    most, fewest = F.greatest("total_a", "total_b"), F.least("words_a", "words_b")
-    near = F.least("total_a", "total_b") >= most * LEAST_JACCARD * 0.8  # texts of too different size can't reach the similarity
+    fewest = F.least("shingles_a", "shingles_b")
+    near = fewest >= F.greatest("shingles_a", "shingles_b") * (FEWER - 1e-6)  # texts of too different size can't reach the similarity
     met = a.join(b, "chunk").where(((F.col("cls_a") < F.col("cls_b")) | (~F.col("new") & (F.col("cls_a") != F.col("cls_b")))) & near)
     # what two texts share beyond the chunks that decide for both is left out by the one that ends at the rarer chunk
     beyond = F.when(F.col("edge_a") < F.col("edge_b"), F.col("left_out_a")).when(F.col("edge_a") > F.col("edge_b"), F.col("left_out_b")).otherwise(F.greatest("left_out_a", "left_out_b"))
-    lack = coverage(fewest) * most - beyond
-    pairs = met.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"), F.col("chunk").bitwiseAND(c.BYTES).alias("bytes"), lack.alias("lack"))
-    return pairs.groupBy("a", "b").agg(F.sum("bytes").alias("bytes"), F.max("lack").alias("lack")).where(F.col("bytes") >= F.col("lack")).select("a", "b")
+    lack = coverage(fewest) * F.greatest("total_a", "total_b") * (1 - 1e-5) - beyond
+    pairs = met.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"), "weight", lack.alias("lack"))
+    return pairs.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("lack").alias("lack")).where(F.col("weight") >= F.col("lack")).select("a", "b")
 
 
 def class_filter(pairs: DataFrame) -> np.ndarray:
