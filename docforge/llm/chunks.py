@@ -95,15 +95,16 @@ def weight(chunk: np.ndarray) -> np.ndarray:
     return (chunk & np.uint64(BYTES)).astype(np.int64)
 
 
-#: Counters of the frequency sketch: chunks are ordered and weighted by what their counter holds.
-COUNTERS = 1 << 22
+#: Powers of two between which the number of counters lies: chunks are ordered and weighted by what their counter holds.
+#: A table has as many as its first batch has chunks, within these bounds.
+LEAST_COUNTERS, MOST_COUNTERS = 16, 22
 #: A chunk weighs its bytes times the logarithm of how rare it is, to this power.
 POWER = 4
 
 
-def counter(chunk: np.ndarray) -> np.ndarray:
+def counter(chunk: np.ndarray, counters: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return ((chunk * _A) >> np.uint64(42)).astype(np.int64)
+        return ((chunk * _A) >> np.uint64(65 - counters.bit_length())).astype(np.int64)
 
 
 def rarity(often: np.ndarray, counted: float) -> np.ndarray:
@@ -124,7 +125,7 @@ def prefix(owner: np.ndarray, chunk: np.ndarray, rest: np.ndarray, frequency: np
     Of each text the rarest chunks, until what is left over is less than the share ``rest`` of its weight. The order
     is that of the counters, then of the hash: the same for a chunk in every text.
     """
-    often = frequency[counter(chunk)]
+    often = frequency[counter(chunk, len(frequency))]
     order = np.lexsort((chunk, often, owner))
     own, size = owner[order], (weight(chunk) * rarity(often, counted))[order]
     total = np.bincount(own, weights=size, minlength=len(rest))

@@ -18,6 +18,7 @@ a task keeps the chunks of a class once, so that a hot group of copies is no hot
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -134,7 +135,7 @@ def gathered(df: DataFrame, fill: Callable[[np.ndarray, pa.RecordBatch], None],
 def as_array(blocks: DataFrame, size: int, kind: type, merge: Callable) -> np.ndarray:
     """The array of ``gathered`` blocks (of a fixed size) on the driver."""
     out, per = np.zeros(size, dtype=kind), BLOCK // np.dtype(kind).itemsize
-    for r in blocks.toLocalIterator():
+    for r in blocks.collect():
         x = np.frombuffer(bytes(r["data"]), dtype=kind)
         at = slice(r["block"] * per, r["block"] * per + len(x))
         merge(out[at], x, out=out[at])
@@ -147,16 +148,31 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), lengths), column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
 
 
+def counters_of(spark: SparkSession, path: str) -> int | None:
+    """The number of counters of the table at ``path``; None if there is no table yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/counters")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.parquet(f"{path}/counters").select("size").first()[0]
+
+
 def accept(records: DataFrame, path: str, batch: int, id_col: str = "doc_id", text_col: str = "clean_text") -> None:
     """Cut and count a batch, and add it to the table at ``path``; a batch written again replaces itself."""
     spark = records.sparkSession
     kept_chunks(records, id_col, text_col).write.mode("overwrite").parquet(f"{path}/chunks/batch={batch}")
+    added = spark.read.parquet(f"{path}/chunks/batch={batch}").select("chunks")
+    size = counters_of(spark, path)
+    if size is None:
+        many = added.agg(F.sum(F.size("chunks"))).first()[0] or 0
+        size = 1 << min(c.MOST_COUNTERS, max(c.LEAST_COUNTERS, many.bit_length()))
 
     def count(own: np.ndarray, part: pa.RecordBatch) -> None:
-        own += np.bincount(c.counter(_flat(part.column(0))[1]), minlength=c.COUNTERS).astype(np.uint32)
+        own += np.bincount(c.counter(_flat(part.column(0))[1], size), minlength=size).astype(np.uint32)
 
-    added = spark.read.parquet(f"{path}/chunks/batch={batch}").select("chunks")
-    gathered(added, count, c.COUNTERS, np.uint32, np.add).write.mode("overwrite").parquet(f"{path}/counters/batch={batch}")
+    blocks = gathered(added, count, size, np.uint32, np.add)
+    # one block at least, so that the number of counters is known of a table of no text, too
+    empty = spark.range(1).select(F.lit(0).alias("block"), F.lit(bytes(4)).alias("data"))
+    blocks.unionByName(empty).withColumn("size", F.lit(size)).write.mode("overwrite").parquet(f"{path}/counters/batch={batch}")
 
 
 def deciding(rows: DataFrame, frequency: Broadcast, filter_bits: np.ndarray | None = None) -> DataFrame:
@@ -187,7 +203,7 @@ def candidates(spark: SparkSession, path: str, batch: int) -> DataFrame:
     """(a, b): pairs of classes, a < b, of a record of the batch and one accepted before or with it, whose chunks may cover enough of the larger text."""
     table = spark.read.parquet(f"{path}/chunks")
     counters = spark.read.parquet(f"{path}/counters").where(F.col("batch") <= batch).select("block", "data")
-    often = as_array(counters, c.COUNTERS, np.uint32, np.add)
+    often = as_array(counters, counters_of(spark, path), np.uint32, np.add)
     frequency = spark.sparkContext.broadcast((often, float(often.sum(dtype=np.float64))))
     fresh = materialise(deciding(table.where(F.col("batch") == batch), frequency), "fresh")
     size = 1 << min(MOST_BITS, max(LEAST_BITS, (16 * fresh.count()).bit_length()))
@@ -205,7 +221,9 @@ def candidates(spark: SparkSession, path: str, batch: int) -> DataFrame:
     beyond = F.when(F.col("edge_a") < F.col("edge_b"), F.col("left_out_a")).when(F.col("edge_a") > F.col("edge_b"), F.col("left_out_b")).otherwise(F.greatest("left_out_a", "left_out_b"))
     lack = coverage(fewest) * F.greatest("total_a", "total_b") * (1 - 1e-5) - beyond
     pairs = met.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"), "weight", lack.alias("lack"))
-    return pairs.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("lack").alias("lack")).where(F.col("weight") >= F.col("lack")).select("a", "b")
+    found = materialise(pairs.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("lack").alias("lack")).where(F.col("weight") >= F.col("lack")).select("a", "b"), "candidates")
+    frequency.destroy()
+    return found
 
 
 def class_filter(pairs: DataFrame) -> np.ndarray:
@@ -317,11 +335,12 @@ def near_duplicates(records: DataFrame, id_col: str = "doc_id", text_col: str =
     slim = records.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"), F.coalesce(F.col(batch_col).cast("int"), F.lit(0)).alias("b"))
     accept(slim.where("b <= 0"), path, 0, "k", "t")
     batches = sorted(r[0] for r in slim.where("b > 0").select("b").distinct().collect())
+    pairs = []
     for n in batches:
         accept(slim.where(F.col("b") == n), path, n, "k", "t")
-        candidates(spark, path, n).write.mode("overwrite").parquet(f"{path}/candidates/batch={n}")
+        pairs.append(candidates(spark, path, n))
     who = members(spark, path)
-    pairs = spark.read.schema("a bigint, b bigint").parquet(*(f"{path}/candidates/batch={n}" for n in batches)).distinct() if batches else spark.createDataFrame([], "a bigint, b bigint")
+    pairs = reduce(DataFrame.unionByName, pairs).distinct() if pairs else spark.createDataFrame([], "a bigint, b bigint")
     close = materialise(similar_classes(pairs, spark.read.parquet(f"{path}/chunks"), slim, "t", least), "close")
     return similar_records(close, who).select(F.col("ka").alias(f"{id_col}_a"), F.col("kb").alias(f"{id_col}_b"))
 
@@ -334,7 +353,7 @@ def new_batch(records: DataFrame, path: str, new: DataFrame, batch: int, id_col:
     """
     spark = new.sparkSession
     accept(new, path, batch, id_col, text_col)
-    pairs = materialise(candidates(spark, path, batch), "candidates")
+    pairs = candidates(spark, path, batch)
     texts = records.select(F.col(text_col).alias("t")).unionByName(new.select(F.col(text_col).alias("t")))
     close = materialise(similar_classes(pairs, spark.read.parquet(f"{path}/chunks"), texts, "t", least), "close")
     return similar_records(close, members(spark, path).where(F.col("batch") <= batch), batch - 1).select(F.col("ka").alias(f"{id_col}_a"), F.col("kb").alias(f"{id_col}_b"))

@@ -91,7 +91,7 @@ def test_a_chunk_that_all_old_texts_have(spark, tmp_path):
     history.accept(old, path, 0)
     got = {tuple(r) for r in history.new_batch(old, path, new, 1).collect()}
     assert got == {(f"n{i}", f"o{i}") for i in range(5)}
-    frequency = history.as_array(spark.read.parquet(f"{path}/counters").select("block", "data"), history.c.COUNTERS, history.np.uint32, history.np.add)
+    frequency = history.as_array(spark.read.parquet(f"{path}/counters").select("block", "data"), history.counters_of(spark, path), history.np.uint32, history.np.add)
     frequency = spark.sparkContext.broadcast((frequency, float(frequency.sum())))
     table = spark.read.parquet(f"{path}/chunks")
     fresh = history.deciding(table.where("batch = 1"), frequency)
