@@ -97,7 +97,7 @@ def weight(chunk: np.ndarray) -> np.ndarray:
 
 #: Powers of two between which the number of counters lies: chunks are ordered and weighted by what their counter holds.
 #: A table has as many as its first batch has chunks, within these bounds.
-LEAST_COUNTERS, MOST_COUNTERS = 16, 22
+LEAST_COUNTERS, MOST_COUNTERS = 14, 20
 #: A chunk weighs its bytes times the logarithm of how rare it is, to this power.
 POWER = 4
 
@@ -107,10 +107,10 @@ def counter(chunk: np.ndarray, counters: int) -> np.ndarray:
         return ((chunk * _A) >> np.uint64(65 - counters.bit_length())).astype(np.int64)
 
 
-def rarity(often: np.ndarray, counted: float) -> np.ndarray:
-    """What a byte of a chunk weighs, by its counter and the sum of all counters."""
+def rarity(often: np.ndarray, counted: float, counters: int) -> np.ndarray:
+    """What a byte of a chunk weighs, by its counter, less what other chunks add to a counter on average."""
     texts = max(2.0, counted / 50)  # about so many texts; only differences between chunks count
-    return np.maximum(np.log(2 * texts / np.maximum(often, 1)), 0.5) ** POWER
+    return np.maximum(np.log(2 * texts / np.maximum(often - counted / counters, 1)), 0.5) ** POWER
 
 
 def bits(chunk: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +127,7 @@ def prefix(owner: np.ndarray, chunk: np.ndarray, rest: np.ndarray, frequency: np
     """
     often = frequency[counter(chunk, len(frequency))]
     order = np.lexsort((chunk, often, owner))
-    own, size = owner[order], (weight(chunk) * rarity(often, counted))[order]
+    own, size = owner[order], (weight(chunk) * rarity(often, counted, len(frequency)))[order]
     total = np.bincount(own, weights=size, minlength=len(rest))
     upto = np.cumsum(size)
     base = np.concatenate(([0.0], np.cumsum(total)))
