@@ -86,16 +86,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _WS = SPACE
+_REPEATED = f"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[\\p{{P}}\\p{{Nd}}\\p{{Cf}}]+', '', 'g'), '{_WS}'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, len(w) AS n, i, array_to_string(w[i:i + 9], ' ') AS run FROM t, LATERAL (SELECT unnest(range(1, len(w) - 8)) AS i) WHERE len(w) >= 10),
+a AS (SELECT doc_id, n, i, min(i) OVER (PARTITION BY doc_id, run) AS f FROM r),
+c AS (SELECT doc_id, n, count(DISTINCT i + k) AS rep FROM a, range(10) t(k) WHERE i > f GROUP BY doc_id, n)"""
 SQL = {
     "p3_found": """WITH r AS (SELECT DISTINCT source_id, doc_id, clean_text FROM document_records WHERE clean_text IS NOT NULL AND source_id IS NOT NULL),
 l AS (SELECT source_id, doc_id, i::INT AS line_no, regexp_replace(lower(x[i]), '[^\\p{L}\\p{M}]+', '', 'g') AS k FROM (SELECT *, string_split(clean_text, chr(10)) AS x FROM r), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i)),
 m AS (SELECT source_id, k FROM l WHERE k <> '' GROUP BY source_id, k HAVING count(DISTINCT doc_id) >= 5)
 SELECT doc_id, line_no FROM l JOIN m USING (source_id, k)""",
-    "p10_found": f"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[\\p{{P}}\\p{{Nd}}\\p{{Cf}}]+', '', 'g'), '{_WS}'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
-r AS (SELECT doc_id, len(w) AS n, i, array_to_string(w[i:i + 9], ' ') AS run FROM t, LATERAL (SELECT unnest(range(1, len(w) - 8)) AS i) WHERE len(w) >= 10),
-a AS (SELECT doc_id, n, i, min(i) OVER (PARTITION BY doc_id, run) AS f FROM r),
-c AS (SELECT doc_id, n, count(DISTINCT i + k) AS rep FROM a, range(10) t(k) WHERE i > f GROUP BY doc_id, n)
+    "p3_clean": """WITH r AS (SELECT DISTINCT source_id, doc_id, clean_text FROM document_records),
+l AS (SELECT source_id, doc_id, i::INT AS line_no, regexp_replace(lower(x[i]), '[^\\p{L}\\p{M}]+', '', 'g') AS k, x[i] AS line FROM (SELECT *, string_split(clean_text, chr(10)) AS x FROM r WHERE clean_text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i)),
+m AS (SELECT source_id, k FROM l WHERE k <> '' AND source_id IS NOT NULL GROUP BY source_id, k HAVING count(DISTINCT doc_id) >= 5),
+t AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS kept FROM l LEFT JOIN m USING (source_id, k) WHERE m.k IS NULL GROUP BY doc_id)
+SELECT r.doc_id, CASE WHEN r.clean_text IS NULL THEN NULL ELSE coalesce(t.kept, '') END AS clean_text FROM (SELECT DISTINCT doc_id, clean_text FROM r) r LEFT JOIN t USING (doc_id)""",
+    "p10_found": f"""{_REPEATED}
 SELECT doc_id FROM c WHERE rep >= 0.3 * n""",
+    "p10_share": f"""{_REPEATED}
+SELECT d.doc_id, coalesce(c.rep, 0)::BIGINT AS repeated_words, coalesce(len(t.w), 0)::BIGINT AS words, coalesce(c.rep, 0) / greatest(coalesce(len(t.w), 0), 1)::DOUBLE AS repeated_share
+FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN c USING (doc_id)""",
 }
 
 

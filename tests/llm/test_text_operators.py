@@ -37,6 +37,16 @@ def test_repetition_against_a_loop(spark):
     assert repetition.repetition(df.limit(0)).count() == 0
 
 
+def test_the_score_lets_all_repeated_texts_through(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("probability", __import__("pyspark").sql.functions.lit("x"))
+    model = repetition.fit(df)
+    exact = {r["doc_id"] for r in repetition.repetition(df).where("repeated_share >= 0.3").collect()}
+    passed = {r["doc_id"]: r["probability"] for r in repetition.scored(df, model).collect()}
+    assert exact and exact <= set(passed) and len(passed) < 2 * len(exact)
+    assert {r["doc_id"] for r in repetition.repeated_texts(df).collect()} == exact
+    assert sum(p >= 0.5 for k, p in passed.items() if k in exact) >= 0.98 * len(exact)  # calibrated: few cases are thought unlikely
+
+
 def test_site_lines_against_a_loop(spark):
     random.seed(1)
     pool = ["Share this page", "SHARE  this-page!", "Légal: №", "12-34 —", "", "  ", "Ünïque", "अंतिम समीक्षा 9"]
