@@ -65,12 +65,24 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(table(spark, d, "documents"))
 
 
+#: A container of p9_fill holds at most an item for each so many tokens of its capacity.
+TOKENS_A_SEGMENT = 32
+
+
+def _p9_specs(spark: SparkSession, d: str) -> DataFrame:
+    segments = F.greatest(F.lit(1), F.expr(f"capacity_tokens div {TOKENS_A_SEGMENT}"))
+    return table(spark, d, "container_specs").withColumns({"segments": segments, "loss_capacity": F.col("capacity_tokens")})
+
+
 def p9_fill(spark: SparkSession, d: str) -> DataFrame:
-    return packing.fill(table(spark, d, "documents"), table(spark, d, "container_specs"))
+    """A text up to its first line break is its prompt and bears no loss; a text of one line bears loss on all tokens."""
+    prompt = F.instr("text", "\n")
+    docs = table(spark, d, "documents").withColumn("loss_share", 1 - prompt / F.greatest(F.length("text"), F.lit(1)))
+    return packing.fill(docs, _p9_specs(spark, d), loss_col="loss_share")
 
 
 def p9_usage(spark: SparkSession, d: str) -> DataFrame:
-    return packing.usage(p9_fill(spark, d), table(spark, d, "container_specs"))
+    return packing.usage(p9_fill(spark, d), _p9_specs(spark, d))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

@@ -67,6 +67,61 @@ def test_packing_keeps_all_limits(kind):
         assert len(used) <= max(size.sum() / 128, 800 / 9) * 1.03 + 1
 
 
+@pytest.mark.parametrize("limit", ["tokens", "segments", "loss"])
+def test_each_limit_binds(limit):
+    """Where one of the limits is scarce, containers are full in that dimension."""
+    rng = np.random.default_rng(4)
+    size = rng.integers(1, 100, 3000)
+    loss = (size * rng.random(3000)).astype(np.int64)
+    room = {"tokens": (512, 1000, 512), "segments": (512, 4, 512), "loss": (512, 1000, 110)}[limit]
+    at = packing.pack(size, loss, room[0], room[1], room[2])
+    n = at.max() + 1
+    used = np.bincount(at, weights=size).max(), np.bincount(at).max(), np.bincount(at, weights=loss).max()
+    assert all(u <= r for u, r in zip(used, room))
+    least = {"tokens": size.sum() / room[0], "segments": 3000 / room[1], "loss": loss.sum() / room[2]}[limit]
+    assert n <= least * 1.02 + 1
+
+
+def test_the_dot_product_decides():
+    """With little loss room left, an item of the same size with less loss goes first."""
+    size, loss = np.array([6, 6, 4, 4]), np.array([6, 0, 4, 0])
+    at = packing.pack(size, loss, 10, loss_capacity=6)
+    assert at.max() == 1 and max(np.bincount(at, weights=loss)) <= 6
+    rng = np.random.default_rng(5)
+    for _ in range(50):  # against a search of all items at each step
+        n = int(rng.integers(1, 40))
+        size = rng.integers(0, 20, n)
+        loss = np.minimum(size, rng.integers(0, 20, n))
+        assert len(set(packing.pack(size, loss, 20, 5, 20).tolist())) <= plain(size, loss, 20, 5, 20) * 1.25 + 1
+
+
+def plain(size, loss, capacity, segments, loss_capacity):
+    total = np.array([size.sum() / capacity, len(size) / segments, loss.sum() / loss_capacity])
+    scarce, left, n = total / total.sum() if total.sum() else np.ones(3) / 3, list(range(len(size))), 0
+    while left:
+        room = np.array([capacity, segments, loss_capacity], dtype=float)
+        while fits := [i for i in left if size[i] <= room[0] and room[1] >= 1 and loss[i] <= room[2]]:
+            i = max(fits, key=lambda i: scarce[0] * size[i] * room[0] / capacity**2 + scarce[2] * loss[i] * room[2] / loss_capacity**2)
+            left.remove(i)
+            room -= (size[i], 1, loss[i])
+        n += 1
+    return n
+
+
+def test_fill_with_prompts(spark):
+    docs = spark.createDataFrame([(i, "word " * (5 + i % 30), 0.5 if i % 2 else None) for i in range(400)], "doc_id bigint, text string, loss double")
+    specs = spark.createDataFrame([(1, "byte_bpe_50k", 100, 6, 60), (2, "byte_bpe_50k", 100, None, None), (3, "byte_bpe_50k", 8, 4, 4)], "spec_id int, tokenizer string, capacity_tokens int, segments int, loss_capacity int")
+    filled = packing.fill(docs, specs, loss_col="loss")
+    used = {}
+    for r in filled.collect():
+        x = used.setdefault((r["spec_id"], r["container"]), [0, 0, 0])
+        x[0], x[1], x[2] = x[0] + r["tokens"], x[1] + 1, x[2] + r["loss"]
+    for k, most in {1: (100, 6, 60), 2: (100, 400, 100), 3: (8, 4, 4)}.items():
+        assert all(a <= b for (s, _), x in used.items() if s == k for a, b in zip(x, most))
+    u = {r["spec_id"]: r for r in packing.usage(filled, specs).collect()}
+    assert max(u[1]["filled"], u[1]["segments_filled"], u[1]["loss_filled"]) > 0.9 and u[2]["segments_filled"] is None
+
+
 def test_packing_edges():
     assert packing.pack(np.zeros(0, int), np.zeros(0, int), 5).tolist() == []
     assert packing.pack(np.zeros(4, int), np.zeros(4, int), 5).tolist() == [0, 0, 0, 0]
