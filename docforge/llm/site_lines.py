@@ -5,7 +5,8 @@ of the id inside source and bucket, so places are dense and the same however oft
 documents in a bucket are a word-aligned compressed bitmap: one 64-bit word for each 64 offsets, words of
 zeros are not stored. Spellings of a line that differ only in case, digits, punctuation, symbols and
 white space have one key, and ``bit_or`` unites their bitmaps. Cardinalities are sums of ``bit_count``,
-hence exact. Lines above the threshold are found again in the documents by a lookup of the offset's bit.
+hence exact. The bitmaps of lines above the threshold are read back: the bits that are set name the documents that
+have the line, and of those documents, and no others, the lines with the key are looked up.
 
 All steps but the sum of cardinalities stay inside (source, bucket), so a source that holds a third of
 all rows is spread over its buckets; the sum is pre-aggregated before its shuffle.
@@ -41,9 +42,9 @@ def placed(docs: DataFrame, source_col: str, id_col: str, text_col: str, rows: i
 
 
 def occurrences(places: DataFrame) -> DataFrame:
-    """(source, bucket, id, line_no, key, word, bit) of each line that has a key."""
-    lines = places.select("source", "bucket", "id", "offset", F.posexplode("keys").alias("at", "key")).where(F.col("key").isNotNull())
-    return lines.select("source", "bucket", "id", (F.col("at") + 1).alias("line_no"), "key", F.expr("offset div 64").alias("word"), F.expr("cast(offset % 64 as int)").alias("bit"))
+    """(source, bucket, key, word, bit) of each line that has a key."""
+    lines = places.select("source", "bucket", "offset", F.explode("keys").alias("key")).where(F.col("key").isNotNull())
+    return lines.select("source", "bucket", "key", F.expr("offset div 64").alias("word"), F.expr("cast(offset % 64 as int)").alias("bit"))
 
 
 def line_bitmaps(lines: DataFrame) -> DataFrame:
@@ -58,12 +59,16 @@ def repeated_lines(docs: DataFrame, source_col: str = "source_id", id_col: str =
     neither; a document delivered twice counts once. Lines without a letter are no case. Other columns
     are left out; an empty table gives an empty result.
     """
-    lines = occurrences(materialise(placed(docs, source_col, id_col, text_col), "places"))  # read three times below
-    words = line_bitmaps(lines)
+    places = materialise(placed(docs, source_col, id_col, text_col), "places")
+    words = line_bitmaps(occurrences(places))
     many = words.groupBy("source", "key").agg(F.sum(F.bit_count("bits")).alias("documents")).where(F.col("documents") >= least).select("source", "key")
     kept = words.join(many, ["source", "key"], "left_semi")
-    found = lines.join(kept, ["source", "bucket", "key", "word"]).where(F.expr("getbit(bits, bit)") == 1)
-    return found.select(F.col("id").alias(id_col), "line_no")
+    # every set bit is a document: its offset, and by it the document, without a second pass over all lines
+    bits = F.expr("transform(filter(sequence(0, 63), b -> getbit(bits, b) = 1), b -> cast(word * 64 + b AS int))")
+    where = kept.select("source", "bucket", "key", F.explode(bits).alias("offset"))
+    gone = where.groupBy("source", "bucket", "offset").agg(F.collect_set("key").alias("gone"))
+    lines = places.join(gone, ["source", "bucket", "offset"]).select("id", "gone", F.posexplode("keys").alias("at", "key"))
+    return lines.where(F.array_contains("gone", F.col("key"))).select(F.col("id").alias(id_col), (F.col("at") + 1).alias("line_no"))
 
 
 def without_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "clean_text") -> DataFrame:
