@@ -1,15 +1,21 @@
-"""A language guess from function words and scripts, as a column expression."""
+"""A language guess from function words and scripts: all scores of a text in one pass over Arrow batches."""
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SHORT_CHARS = 20
 
-# Function words of languages in Latin script, and characters that speak for the others, in order of preference.
+# Function words of languages in Latin script (one named twice counts twice), and characters that speak for the
+# others, in order of preference.
 WORDS = {
-    "en": "the and or of to a in is that for on with as by at from this have has had will would could should may might must",
+    "en": "the and or of to a in is that for on with as by at from this that have has had will would could should may might must",
     "de": "der die das und oder in den von zu mit sich des auf für ist im dem nicht ein eine als so mehr",
     "fr": "le la les un une des et ou de à en du au aux est pour sur avec dans par son sa ses ce cet cette ces qui que dont où si mais donc car ni or",
     "es": "el la los las un una unos unas y o de a en del al es por para con sin sobre entre desde hasta durante mediante según contra tras bajo ante cabe",
@@ -37,38 +43,87 @@ CHARACTERS = {
 ORDER = ("en", "hi", "bn", "ta", "te", "mr", "gu", "kn", "ml", "pa", "ur", "zh", "ja", "ko", "ar", "fa", "ru", "de", "fr", "es", "it", "pt")
 
 
-def _double(lang: str, text: Column) -> Column:
-    """Marks that two of a language's patterns match count twice."""
-    return F.regexp_count(text, F.lit("[।॥]")) if lang == "hi" else F.regexp_count(text, F.lit("॥")) if lang == "mr" else F.lit(0)
-
-
-def _one_of(words: list[str]):
-    return lambda w: w.isin(words)
-
-
-def scores(text: Column, order: tuple[str, ...] = ORDER) -> Column:
-    """Array of (language, score) in order of preference: function words, or characters of the script."""
-
-    def count(tokens: Column) -> Column:
-        out = []
-        for lang in order:
-            if lang in WORDS:
-                n = F.size(F.filter(tokens, _one_of(WORDS[lang].split())))
-            else:
-                n = F.regexp_count(text, F.lit(CHARACTERS[lang])) + _double(lang, text)
-            out.append(F.struct(F.lit(lang).alias("lang"), n.cast("bigint").alias("score")))
-        return F.array(*out)
-
-    return _once(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), count)
-
-
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
+# Marks that two of a language's patterns match count twice.
+DOUBLED = {"hi": "।॥", "mr": "॥"}
 
 #: Arabic and Persian have the score of Urdu and come after it, so they can't be the best.
 _WINNERS = tuple(x for x in ORDER if x not in ("ar", "fa"))
+#: Characters handled at once; a longer text is handled by itself, whole.
+_SLICE = 1 << 19
+_P = np.uint64(0x9E3779B97F4A7C15)
+_tables: list = []
+
+
+def _hash(cp: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    out = np.full(len(start), size, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            out = (out ^ (out >> np.uint64(29))) * _P + cp[start + k].astype(np.uint64)
+    return out
+
+
+def _built() -> tuple:
+    """Tables over code points and words: part of a word, class of each character, scores of a class and of a word by language."""
+    if not _tables:
+        column = {lang: i for i, lang in enumerate(_WINNERS)}
+        letter = np.fromiter((unicodedata.category(chr(c))[0] in "LN" or c == 95 for c in range(0x110000)), dtype=bool, count=0x110000)
+        marks: dict[int, list[int]] = {}
+        for lang in _WINNERS:
+            for first, last in re.findall(r"(.)(?:-(.))?", CHARACTERS.get(lang, "[]")[1:-1], re.S):
+                for c in range(ord(first), ord(last or first) + 1):
+                    marks.setdefault(c, [0] * len(_WINNERS))[column[lang]] = 1
+        for lang, chars in DOUBLED.items():
+            for c in chars:
+                marks.setdefault(ord(c), [0] * len(_WINNERS))[column[lang]] += 1
+        kinds = [tuple([0] * len(_WINNERS)), *sorted({tuple(v) for v in marks.values()})]
+        number = {v: i for i, v in enumerate(kinds)}
+        kind = np.zeros(0x110000, dtype=np.uint8)
+        for c, v in marks.items():
+            kind[c] = number[tuple(v)]
+        words: dict[str, list[int]] = {}
+        for lang, known in WORDS.items():
+            for w in known.split():
+                words.setdefault(w, [0] * len(_WINNERS))[column[lang]] += 1
+        hashes = {}
+        for w, v in words.items():
+            cp = np.array([ord(c) for c in w], dtype=np.uint32)
+            hashes[int(_hash(cp, np.zeros(1, np.int64), len(w))[0])] = v
+        keys = np.array(sorted(hashes), dtype=np.uint64)
+        _tables.extend((letter, kind, np.array(kinds), keys, np.array([hashes[int(k)] for k in keys]), max(map(len, words))))
+    return tuple(_tables)
+
+
+def scores(texts: list[str | None]) -> np.ndarray:
+    """(text, language) scores in the order of the languages that can win: function words, or characters of the script."""
+    letter, kind, kinds, keys, weights, longest = _built()
+    out = np.zeros((len(texts), len(_WINNERS)), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        last, room = first + 1, _SLICE - len(texts[first] or "")
+        while last < len(texts) and room > 0:
+            room -= len(texts[last] or "")
+            last += 1
+        part = [t or "" for t in texts[first:last]]
+        cp = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        owner = np.repeat(np.arange(len(part)), np.fromiter(map(len, part), dtype=np.int64, count=len(part)))
+        k = kind[cp]
+        seen = np.flatnonzero(k)
+        out[first:last] += np.bincount(owner[seen] * len(kinds) + k[seen], minlength=len(part) * len(kinds)).reshape(len(part), -1) @ kinds
+        low = [t.lower() for t in part]
+        cp = np.frombuffer((" ".join(low) + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ends = np.cumsum(np.fromiter((len(t) + 1 for t in low), dtype=np.int64, count=len(low)))
+        inside = letter[cp]
+        change = np.diff(inside.astype(np.int8), prepend=0)
+        start, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        for size in range(1, longest + 1):
+            at = start[stop - start == size]
+            if len(at):
+                key = _hash(cp, at, size)
+                i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = keys[i] == key
+                np.add.at(out, first + np.searchsorted(ends, at[hit], side="right"), weights[i[hit]])
+        first = last
+    return out
 
 
 def detect(text: Column, fallback: str = "en") -> Column:
@@ -77,7 +132,14 @@ def detect(text: Column, fallback: str = "en") -> Column:
     The highest score wins, the earlier language among equals; confidence is the score for each hundred
     characters, at most 1.
     """
-    best = F.aggregate(scores(text, _WINNERS), F.struct(F.lit(None).cast("string").alias("lang"), F.lit(0).cast("bigint").alias("score")), lambda a, x: F.when(x["score"] > a["score"], x).otherwise(a))
-    none = F.struct(F.lit(fallback).alias("language"), F.lit(0.1).alias("confidence"))
-    found = _once(best, lambda b: F.when(b["score"] == 0, none).otherwise(F.struct(b["lang"].alias("language"), F.least(b["score"] / (F.length(text) / F.lit(100.0)), F.lit(1.0)).alias("confidence"))))
-    return F.when(F.coalesce(F.length(F.trim(text)), F.lit(0)) < SHORT_CHARS, none).otherwise(found)
+
+    def guess(column: pd.Series) -> pd.DataFrame:
+        texts = [t if isinstance(t, str) else None for t in column]
+        found = scores(texts)
+        best, most = found.argmax(axis=1), found.max(axis=1)
+        short = np.fromiter((t is None or len(t.strip(" ")) < SHORT_CHARS for t in texts), dtype=bool, count=len(texts))
+        chars = np.fromiter((max(len(t), 1) if t else 1 for t in texts), dtype=np.float64, count=len(texts))
+        none = short | (most == 0)
+        return pd.DataFrame({"language": np.where(none, fallback, np.array(_WINNERS, dtype=object)[best]), "confidence": np.where(none, 0.1, np.minimum(most / (chars / 100.0), 1.0))})
+
+    return F.pandas_udf(guess, "language string, confidence double")(text)

@@ -80,16 +80,24 @@ def absolute_urls(spark: SparkSession, d: str) -> DataFrame:
     return x.select("entry_id", text.absolute_url(F.lit("https://b.example/"), F.col("url")).alias("url"), rooted.alias("rooted"))
 
 
+# What counts for each language, written out for the other engine: lists of words, and of patterns of characters.
+_SQL_WORDS = {
+    "en": (("the", "and", "or", "of", "to", "a", "in", "is", "that", "for", "on", "with", "as", "by", "at", "from"), ("this", "that", "have", "has", "had", "will", "would", "could", "should", "may", "might", "must")),
+    "de": (("der", "die", "das", "und", "oder", "in", "den", "von", "zu", "mit", "sich", "des", "auf", "für", "ist", "im", "dem", "nicht", "ein", "eine", "als", "so", "mehr"),),
+}
+_SQL_MARKS = {"hi": ("[\u0900-\u097f]", "[\u0964\u0965]"), "mr": ("[\u0900-\u097f\u3002]", "\u0965"), "ru": ("[\u0400-\u04ff.!?]",)}
+
+
 def _language_sql() -> str:
     parts = []
     for n, lang in enumerate(language.ORDER):
         if lang in language.WORDS:
-            known = ", ".join(f"'{w}'" for w in language.WORDS[lang].split())
-            parts.append(f"struct_pack(s := len(list_filter(k, lambda w: w IN ({known})))::BIGINT, o := {-n}, l := '{lang}')")
+            lists = _SQL_WORDS.get(lang) or (tuple(language.WORDS[lang].split()),)
+            score = " + ".join(f"len(list_filter(k, lambda w: w IN {tuple(x)}))" for x in lists)
         else:
-            chars = language.CHARACTERS[lang].replace("'", "''")
-            extra = {"hi": " + len(regexp_extract_all(text, '[।॥]'))", "mr": " + len(regexp_extract_all(text, '॥'))"}.get(lang, "")
-            parts.append(f"struct_pack(s := (len(regexp_extract_all(text, '{chars}')){extra})::BIGINT, o := {-n}, l := '{lang}')")
+            patterns = _SQL_MARKS.get(lang) or (language.CHARACTERS[lang].replace("'", "''"),)
+            score = " + ".join(f"len(regexp_extract_all(text, '{x}'))" for x in patterns)
+        parts.append(f"struct_pack(s := ({score})::BIGINT, o := {-n}, l := '{lang}')")
     return f"""WITH t AS (SELECT doc_id, lang, text, regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+') AS k FROM documents),
 b AS (SELECT doc_id, lang, text, list_max([{", ".join(parts)}]) AS m FROM t),
 r AS (SELECT doc_id, lang, CASE WHEN coalesce(length(trim(text)), 0) < 20 OR m.s = 0 THEN 'en' ELSE m.l END AS language,
