@@ -62,9 +62,13 @@ def _entry(body: bytes, key: bytes) -> str | None:
     return string(m[1]) if m else None
 
 
+#: Further facts of a file and their keys in it; dates stay as they are written.
+ABOUT = {"subject": b"Subject", "creator": b"Creator", "producer": b"Producer", "creation_date": b"CreationDate", "modification_date": b"ModDate"}
+
+
 def read(data: bytes | None) -> dict:
-    """text (pages apart by a blank line), page_count, is_scanned, title, author, toc of (title, level), error."""
-    fail = {"text": "", "first_page": "", "page_count": 0, "is_scanned": True, "title": None, "author": None, "toc": [], "error": "not a PDF file"}
+    """text (pages apart by a blank line), page_count, is_scanned, title, author, the facts of ``ABOUT``, toc of (title, level), error."""
+    fail = {"text": "", "first_page": "", "page_count": 0, "is_scanned": True, "title": None, "author": None, **dict.fromkeys(ABOUT), "toc": [], "error": "not a PDF file"}
     if not data or b"%PDF" not in data[:1024]:
         return fail
     objects = {int(n): body for n, body in _OBJECT.findall(data)}
@@ -79,7 +83,7 @@ def read(data: bytes | None) -> dict:
     info = re.search(rb"/Info\s+(\d+)\s+\d+\s+R", data)
     about = objects.get(int(info[1]), b"") if info else b""
     text = "\n\n".join(t for t in texts if t)
-    return {"text": text, "first_page": texts[0][:FIRST_PAGE_CHARS], "page_count": len(pages), "is_scanned": not text, "title": _entry(about, b"Title"), "author": _entry(about, b"Author"), "toc": outline(objects), "error": None}
+    return {"text": text, "first_page": texts[0][:FIRST_PAGE_CHARS], "page_count": len(pages), "is_scanned": not text, "title": _entry(about, b"Title"), "author": _entry(about, b"Author"), **{k: _entry(about, v) for k, v in ABOUT.items()}, "toc": outline(objects), "error": None}
 
 
 def outline(objects: dict[int, bytes]) -> list[tuple[str, int]]:
@@ -101,11 +105,11 @@ def outline(objects: dict[int, bytes]) -> list[tuple[str, int]]:
 
 
 def parse_pdfs(df: DataFrame, id_col: str, bytes_col: str = "content_bytes") -> DataFrame:
-    """(id, text, first_page, page_count, is_scanned, title, author, toc, error) of files given as bytes."""
-    fields = ["text", "first_page", "page_count", "is_scanned", "title", "author", "toc", "error"]
+    """(id, text, first_page, page_count, is_scanned, title, author, the facts of ``ABOUT``, toc, error) of files given as bytes."""
+    fields = ["text", "first_page", "page_count", "is_scanned", "title", "author", *ABOUT, "toc", "error"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.list_(pa.struct([("title", pa.string()), ("level", pa.int32())])), pa.string()]
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string(), *(pa.string() for _ in ABOUT), pa.list_(pa.struct([("title", pa.string()), ("level", pa.int32())])), pa.string()]
         for b in batches:
             done = [read(x) for x in b.column("c").to_pylist()]
             for x in done:
@@ -114,4 +118,4 @@ def parse_pdfs(df: DataFrame, id_col: str, bytes_col: str = "content_bytes") ->
 
     kind = df.schema[id_col].dataType.simpleString()
     picked = df.select(F.col(id_col).alias("k"), F.col(bytes_col).alias("c"))
-    return picked.mapInArrow(run, f"k {kind}, text string, first_page string, page_count int, is_scanned boolean, title string, author string, toc array<struct<title: string, level: int>>, error string").withColumnRenamed("k", id_col)
+    return picked.mapInArrow(run, f"k {kind}, text string, first_page string, page_count int, is_scanned boolean, title string, author string, " + "".join(f"{x} string, " for x in ABOUT) + "toc array<struct<title: string, level: int>>, error string").withColumnRenamed("k", id_col)

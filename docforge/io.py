@@ -17,10 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def application_dir(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``.
 
-    Only where the session names no such folder (tests, local runs) a temporary one is used.
+    A local session that names no such folder (tests) gets a temporary one; on a cluster that is an error, since
+    executors would write to disks that others don't see.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "docforge-shared")
     return f"{base.rstrip('/')}/docforge-{spark.sparkContext.applicationId}"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -80,8 +81,11 @@ def near_fingerprints(prints: DataFrame, col: str = "simhash", distance: int = M
     keys = F.array(*(F.struct(F.lit(n).alias("choice"), F.xxhash64(*(part[i] for i in c)).alias("key")) for n, c in enumerate(choices)))
     rows = x.select("v", F.inline(keys))
     left, right = rows.select(F.col("v").alias("a"), "choice", "key"), rows.select(F.col("v").alias("b"), "choice", "key")
-    far = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return left.join(right, ["choice", "key"]).where(F.col("a") < F.col("b")).where(far <= distance).select("a", "b", far.cast("int").alias("distance")).distinct()
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    same = [F.shiftrightunsigned(F.shiftleft(differ, edges[i]), BITS - (edges[i + 1] - edges[i])) == 0 for i in range(parts)]
+    first = F.coalesce(*(F.when(reduce(lambda x, y: x & y, (same[i] for i in c)), F.lit(n)) for n, c in enumerate(choices)))
+    met = left.join(right, ["choice", "key"]).where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= distance) & (F.col("choice") == first))
+    return met.select("a", "b", F.bit_count(differ).cast("int").alias("distance"))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

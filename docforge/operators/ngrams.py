@@ -20,7 +20,7 @@ from docforge.io import materialise
 
 SIZE, LEAST, LEAST_CHARS = 4, 3, 50
 #: Documents of one bucket over all sites, about.
-BUCKET_DOCUMENTS = 20_000
+BUCKET_DOCUMENTS = 4096
 #: Stretches that a site's documents are cut into for running sums.
 PARTS = 16
 
@@ -114,7 +114,9 @@ def masked(df: DataFrame, found: DataFrame, site_col: str, id_col: str, text_col
     docs = df.select(F.col(site_col).alias("site"), F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int").alias("bucket"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     whole = docs.where(F.coalesce(F.length("t") < least_chars, F.lit(True)) | F.col("site").isNull()).select("id", F.col("t").alias("text"))
     long = docs.where((F.length("t") >= least_chars) & F.col("site").isNotNull())
-    lists = found.select("site", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), "ngram")
+    # only for the buckets that a site has documents in: a small site is in few of many
+    present = long.groupBy("site").agg(F.collect_set("bucket").alias("buckets"))
+    lists = found.join(present, "site").select("site", F.explode("buckets").alias("bucket"), "ngram")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.unique(gram_hashes("".join(right.column("ngram").to_pylist()), size)[::size]) if right.num_rows else np.zeros(0, np.uint64)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
+from itertools import takewhile
 from itertools import chain
 from zoneinfo import ZoneInfo
 
@@ -102,7 +103,7 @@ def interval_table(spark: SparkSession, zones: list[str]) -> DataFrame:
             end = int((datetime(year + 1, 1, 1) - datetime(1970, 1, 1)).total_seconds())
             while k < len(parts) and parts[k][1] <= start - 86400:
                 k += 1
-            rows.append((zone, year, [p for p in parts[k : k + 12] if p[0] < end and p[1] > start]))
+            rows.append((zone, year, [p for p in takewhile(lambda p: p[0] < end + 86400, parts[k:]) if p[0] < end and p[1] > start]))
     kind = "__zone string, __year int, __stretches array<struct<a: bigint, b: bigint, shift: int, abbr: string>>"
     return spark.createDataFrame(rows, kind)
 

@@ -267,6 +267,25 @@ def html_title_body(spark: SparkSession, d: str) -> DataFrame:
     return html.parse_pages(table(spark, d, "raw_documents").where(F.col("http_status") == 200).select("raw_id", "url", "content_bytes"), "raw_id")
 
 
+# Small pages, and the title and body that come of them.
+_LONG = "The depositary shall file its annual report with the desk in charge."
+_PAGES = (
+    (f"<html><head><title> Named </title></head><body><nav>Menu</nav><p>Before.</p><main><h1>Head</h1><p>{_LONG}</p></main><footer>End</footer></body></html>", "Named", f"Head {_LONG}"),
+    ("<html><head><title>Short</title></head><body><nav>Menu</nav><p>Before.</p><main><p>Too short.</p></main><footer>End</footer></body></html>", "Short", "Before. Too short."),
+    ("<html><body><script>var x = 1;</script><style>p{}</style><h1>First <i>head</i></h1><p>Text &amp; more.</p></body></html>", "First head", "First head Text & more."),
+    ('<html><head><meta property="og:title" content="Shared"></head><body><h2>Second</h2><p>Text.</p></body></html>', "Shared", "Second Text."),
+    ("<html><body><h3>Third</h3><p>a\n  b</p></body></html>", "Third", "Third a b"),
+    ("<html><body><p>Grüße aus <b>Köln</b></p></body></html>", "A Notice", "Grüße aus Köln"),
+)
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}', '{b}')" for i, (_, t, b) in enumerate(_PAGES)) + ") v(raw_id, title, body_text)")
+def html_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Pages whose title and body are known."""
+    x = spark.createDataFrame([(i, "https://a.example/x/a-notice", bytearray(h.encode())) for i, (h, _, _) in enumerate(_PAGES)], "raw_id int, url string, content_bytes binary")
+    return html.parse_pages(x, "raw_id").select("raw_id", "title", "body_text")
+
+
 @query("""SELECT doc_id, 'Notice ' || doc_id AS text, 1 AS page_count, false AS is_scanned FROM documents""")
 def pdf_text(spark: SparkSession, d: str) -> DataFrame:
     """Small PDF files made of the documents' ids, and read back."""
@@ -285,14 +304,16 @@ def feed_json_entries(spark: SparkSession, d: str) -> DataFrame:
     return out.select("entry_id", "url", "title", "summary", "metadata.document_type", F.col("metadata.reference_number").alias("reference")).distinct()
 
 
-@query("""SELECT DISTINCT entry_id, url, coalesce(trim(title), '') AS title, 'PRESS_RELEASE' AS document_type FROM remote_entries""")
+@query("""SELECT DISTINCT entry_id, url, coalesce(trim(title), '') AS title, coalesce(trim(summary), '') AS summary, 'PRESS_RELEASE' AS document_type, floor(epoch(listed_at))::BIGINT AS published_s FROM remote_entries""")
 def feed_xml_entries(spark: SparkSession, d: str) -> DataFrame:
-    """Each entry written as an RSS document, and read back."""
+    """Each entry written as an RSS or an Atom document, by the parity of its page, and read back."""
     escape = lambda c: F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    body = F.concat(F.lit("<rss><channel><item><title>"), escape(F.trim("title")), F.lit("</title><link>"), escape(F.col("url")), F.lit("</link></item></channel></rss>"))
-    x = table(spark, d, "remote_entries").select("entry_id", body.alias("body"))
+    at = F.to_utc_timestamp("listed_at", F.current_timezone())
+    rss = F.concat(F.lit("<rss><channel><item><title>"), escape(F.trim("title")), F.lit("</title><link>"), escape(F.col("url")), F.lit("</link><description>"), escape(F.trim("summary")), F.lit("</description><pubDate>"), F.date_format(at, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate></item></channel></rss>"))
+    atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>'), escape(F.trim("title")), F.lit('</title><link href="'), escape(F.col("url")), F.lit('"/><summary>'), escape(F.trim("summary")), F.lit("</summary><updated>"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z</updated></entry></feed>"))
+    x = table(spark, d, "remote_entries").select("entry_id", F.when(F.coalesce(F.col("page"), F.lit(0)) % 2 == 0, rss).otherwise(atom).alias("body"))
     out = listings.entries_from_rss(x, F.col("body"), keep=("entry_id",))
-    return out.select("entry_id", "url", "title", "metadata.document_type").distinct()
+    return out.select("entry_id", "url", "title", "summary", "metadata.document_type", F.unix_seconds("published_date").alias("published_s")).distinct()
 
 
 @query("""SELECT DISTINCT entry_id, url, '15 January 2024' AS listed, CASE WHEN source_id LIKE 'rbi%' THEN 'NOTIFICATION' WHEN source_id LIKE 'sebi%' THEN 'CIRCULAR' ELSE 'NEWS' END AS document_type FROM remote_entries""")
@@ -341,12 +362,11 @@ def parse_raw_documents(spark: SparkSession, d: str) -> DataFrame:
 # Normalisation, n-grams
 
 
-@query(f"""WITH p AS (SELECT DISTINCT doc_id, title, body_text FROM parsed_documents WHERE NOT regexp_matches(coalesce(body_text, ''), '[\\x{{80}}-\\x{{10ffff}}]'))
-SELECT doc_id, coalesce(nullif(trim(title), ''), 'Untitled') AS title, coalesce(length(body_text), 0)::BIGINT AS char_count, coalesce(len({_WORDS % "body_text"}), 0)::BIGINT AS word_count, sha256(coalesce(body_text, '')) AS content_hash FROM p""")
-def normalized_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents of plain ASCII through the whole of normalisation, which leaves their text as it is."""
-    p = table(spark, d, "parsed_documents").where(~F.coalesce("body_text", F.lit("")).rlike(r"[^\x00-\x7f]")).select("doc_id", "url", "title", "body_text").distinct()
-    return normalize.normalized(p).select("doc_id", "title", "char_count", "word_count", "content_hash")
+@query("SELECT DISTINCT doc_id, coalesce(nullif(trim(title), ''), 'Untitled') AS title FROM parsed_documents")
+def normalized_titles(spark: SparkSession, d: str) -> DataFrame:
+    """Titles of all parsed documents after normalisation; their texts are in ``normalized_all``."""
+    p = table(spark, d, "parsed_documents").select("doc_id", "url", "title", "body_text").distinct()
+    return normalize.normalized(p).select("doc_id", "title")
 
 
 @query()
@@ -383,11 +403,16 @@ def ngram_running_confirm(spark: SparkSession, d: str) -> DataFrame:
     return ngrams.running(ngrams.ngrams(table(spark, d, "documents"), "source", "doc_id", "text")).groupBy("id").agg(F.count("*").alias("ngrams"), F.count_if(F.col("before") >= 3).alias("known")).withColumnRenamed("id", "doc_id")
 
 
-@query()
+@query(_NGRAMS + f""", known AS (SELECT site, ngram FROM c GROUP BY site, ngram HAVING sum(n) >= {ngrams.LEAST}),
+pos AS (SELECT doc_id, source AS site, substr(text, i::INT, 4) AS ngram, i FROM documents, LATERAL (SELECT unnest(range(1, length(text) - 2)) AS i) WHERE length(text) >= {ngrams.LEAST_CHARS} AND source IS NOT NULL),
+hidden AS (SELECT DISTINCT doc_id, i + k AS p FROM pos JOIN known USING (site, ngram), range(4) t(k)),
+ch AS (SELECT doc_id, p, substr(text, p::INT, 1) AS x FROM documents, LATERAL (SELECT unnest(range(1, length(text) + 1)) AS p) WHERE doc_id IN (SELECT doc_id FROM hidden)),
+m AS (SELECT doc_id, trim(regexp_replace(string_agg(CASE WHEN h.p IS NULL THEN x ELSE ' ' END, '' ORDER BY p), '{_WS}', ' ', 'g')) AS text FROM ch LEFT JOIN hidden h USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(m.text, d.text) AS text FROM documents d LEFT JOIN m USING (doc_id)""")
 def boilerplate_mask(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with the n-grams masked that 40 documents of their source have."""
-    x = table(spark, d, "documents")
-    return ngrams.masked(x, ngrams.confirmed(_ngrams(spark, d, "document"), 40), "source", "doc_id", "text")
+    """Documents with the n-grams masked that are confirmed in their source."""
+    return ngrams.masked(table(spark, d, "documents"), ngrams.confirmed(_ngrams(spark, d)), "source", "doc_id", "text")
+
 
 
 # Store
@@ -530,12 +555,20 @@ def topic_lexicon(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.explode(analysis.topics(F.col("text"))).alias("topic")).groupBy("topic").agg(F.count("*").alias("docs"))
 
 
-@query()
+_SENTENCES = """s AS (SELECT doc_id, list_filter(string_split(regexp_replace(coalesce(text, ''), '([.!?।])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x) <> '') AS x FROM documents),
+i AS (SELECT doc_id, i, x[i] AS t FROM s, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i))"""
+
+
+@query(f"""WITH {_SENTENCES}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY len(regexp_extract_all(lower(t), '{"|".join(analysis.TOPICS.values())}')) DESC, i) AS k FROM i)
+SELECT doc_id, coalesce(string_agg(trim(t), chr(10) ORDER BY i) FILTER (k <= 3), '') AS sentences FROM documents LEFT JOIN r USING (doc_id) GROUP BY doc_id""")
 def key_sentences(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", analysis.key_sentences(F.col("text")).alias("sentences"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(analysis.key_sentences(F.col("text")), "\n").alias("sentences"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_SENTENCES},
+w AS (SELECT doc_id, i, 0 AS ord, length(t) AS n FROM i WHERE i = 1 UNION ALL
+SELECT w.doc_id, i.i, CASE WHEN w.n + length(t) + 1 <= {search.CHUNK_CHARS} THEN ord ELSE ord + 1 END, CASE WHEN w.n + length(t) + 1 <= {search.CHUNK_CHARS} THEN w.n + length(t) + 1 ELSE length(t) END FROM w JOIN i ON i.doc_id = w.doc_id AND i.i = w.i + 1)
+SELECT doc_id, ord::INT AS ord, string_agg(t, ' ' ORDER BY i) AS text, length(string_agg(t, ' ' ORDER BY i))::INT AS char_count FROM w JOIN i USING (doc_id, i) GROUP BY doc_id, ord""")
 def sentence_chunks(spark: SparkSession, d: str) -> DataFrame:
     return search.sentence_chunks(table(spark, d, "documents"), "doc_id", "text")
 
@@ -572,11 +605,6 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 
 
-@query("SELECT site, ngram, count(*) AS n FROM (SELECT adapter AS site, substr(name, i::INT, 4) AS ngram FROM sources, LATERAL (SELECT unnest(range(1, length(name) - 2)) AS i)) GROUP BY site, ngram")
-def stream_ngram_state(spark: SparkSession, d: str) -> DataFrame:
-    return state.run_to_table(state.ngram_counts(state.read_files(spark, f"{d}/sources.parquet"), "adapter", "name"), "complete")
-
-
 @query(_NGRAMS + "SELECT site, ngram, sum(n)::BIGINT AS n FROM c GROUP BY site, ngram")
 def stream_ngram_documents(spark: SparkSession, d: str) -> DataFrame:
     """The n-gram state of each source's documents, over their whole texts."""

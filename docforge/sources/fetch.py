@@ -75,6 +75,53 @@ def permitted(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFr
     return x.join(r, "__host", "left").where(F.coalesce(ranked["allow"], F.lit(True))).select(*urls.columns)
 
 
+def fetched(requests: DataFrame, rules: DataFrame | None = None, agent: str = "docforge", per_minute: float = 30.0, tasks: int = 32) -> DataFrame:
+    """Fetch results of a table of requests (url, and etag and last_modified of an earlier answer, where known).
+
+    Validators are sent, and 304 is an answer without content from the cache. Urls that the robots ``rules`` forbid are
+    left out. A host's urls are fetched by one task, at most ``per_minute`` of them in a minute.
+    """
+    import pandas as pd
+
+    has = [c for c in ("etag", "last_modified") if c in requests.columns]
+    x = requests.select("url", *has, *(F.lit(None).cast("string").alias(c) for c in ("etag", "last_modified") if c not in has)).where(F.col("url").isNotNull())
+    if rules is not None:
+        x = permitted(x, rules)
+    x = x.withColumn("host", F.coalesce(site_key(F.col("url")), F.lit("")))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        free: dict[str, float] = {}
+        for frame in frames:
+            rows = []
+            for url, etag, modified, host in zip(frame["url"], frame["etag"], frame["last_modified"], frame["host"]):
+                time.sleep(max(0.0, free.get(host, 0.0) - time.monotonic()))
+                free[host] = time.monotonic() + 60.0 / per_minute
+                rows.append(get_page(url, agent, etag, modified))
+            yield pd.DataFrame(rows, columns=["url", "status", "content", "headers", "etag", "last_modified", "from_cache"])
+
+    return x.repartition(tasks, "host").select("url", "etag", "last_modified", "host").mapInPandas(run, FETCH_RESULT)
+
+
+def get_page(url: str, agent: str, etag: str | None = None, modified: str | None = None) -> tuple:
+    """One fetch result; a failure after all attempts has status 0 or the answer's code."""
+    sent = {"User-Agent": agent} | ({"If-None-Match": etag} if etag else {}) | ({"If-Modified-Since": modified} if modified else {})
+    for attempt in range(ATTEMPTS):
+        status, body, head = 0, None, {}
+        try:
+            with urllib.request.urlopen(urllib.request.Request(url, headers=sent), timeout=TIMEOUT_S) as r:
+                status, body, head = r.status, r.read(), dict(r.headers)
+        except urllib.error.HTTPError as e:
+            status, head = e.code, dict(e.headers)
+        except (OSError, ValueError):
+            pass
+        if status and status != 429 and status < 500:
+            break
+        if attempt + 1 < ATTEMPTS:
+            time.sleep(min(MOST_WAIT_S, random.uniform(LEAST_WAIT_S, LEAST_WAIT_S * 2 ** (attempt + 1))))
+    head = {k.lower(): v for k, v in head.items()}
+    return (url, status, body, head, head.get("etag", etag if status == 304 else None), head.get("last-modified", modified if status == 304 else None), status == 304)
+
+
 class HttpSource(DataSource):
     """``spark.read.format("http_pages").option("urls", "...").load()``: one row for each URL, urls apart by blanks.
 
@@ -105,21 +152,4 @@ class _HttpReader(DataSourceReader):
 
     def read(self, partition):
         for url in partition.value:
-            yield self._get(url)
-
-    def _get(self, url: str):
-        for attempt in range(ATTEMPTS):
-            status, body, head = 0, None, {}
-            try:
-                with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": self.agent}), timeout=TIMEOUT_S) as r:
-                    status, body, head = r.status, r.read(), dict(r.headers)
-            except urllib.error.HTTPError as e:
-                status, head = e.code, dict(e.headers)
-            except (OSError, ValueError):
-                pass
-            if status and status != 429 and status < 500:
-                break
-            if attempt + 1 < ATTEMPTS:
-                time.sleep(min(MOST_WAIT_S, random.uniform(LEAST_WAIT_S, LEAST_WAIT_S * 2 ** (attempt + 1))))
-        head = {k.lower(): v for k, v in head.items()}
-        return (url, status, body, head, head.get("etag"), head.get("last-modified"), False)
+            yield get_page(url, self.agent)

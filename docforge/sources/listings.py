@@ -154,15 +154,26 @@ def entries_from_json(feeds: DataFrame, body: Column, max_items: int = 50, cutof
     return out.where(since(F.col("published_date"), cutoff))
 
 
-ITEM = "channel struct<item: array<struct<title: string, link: string, description: string, pubDate: string, guid: string>>>"
+_RSS = "array<struct<title: string, link: string, description: string, pubDate: string, updated: string, created: string, guid: string>>"
+_ATOM = "array<struct<title: string, link: array<struct<_href: string, _rel: string>>, summary: string, content: string, published: string, updated: string, created: string, id: string>>"
 
 
 def entries_from_rss(feeds: DataFrame, body: Column, max_items: int = 50, cutoff: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Entries of RSS documents, as ``entries_from_json``; documents that aren't well-formed have none."""
-    item = "array<struct<title: string, link: string, description: string, pubDate: string, guid: string>>"
-    parsed = F.from_xml(body, ITEM, {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "true"})["channel"]["item"]
-    x = feeds.select(*keep, F.posexplode(F.slice(F.coalesce(parsed, F.array().cast(item)), 1, max_items)).alias("position", "r"))
+    """Entries of RSS and Atom documents, as ``entries_from_json``; documents that aren't well-formed have none.
+
+    The date is the one of publication, else of the last change, else of creation, whichever can be read first.
+    """
+    found = F.from_xml(body, f"channel struct<item: {_RSS}>, entry {_ATOM}", {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "true"})
+    kinds = "struct<title: string, link: string, description: string, date: string, updated: string, created: string, guid: string>"
+
+    def atom(e: Column) -> Column:
+        main = F.filter(e["link"], lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+        return F.struct(e["title"], F.get(F.coalesce(F.nullif(main, F.array().cast("array<struct<_href: string, _rel: string>>")), e["link"]), F.lit(0))["_href"], F.coalesce(e["summary"], e["content"]), e["published"], e["updated"], e["created"], e["id"]).cast(kinds)
+
+    rss = F.transform(found["channel"]["item"], lambda e: F.struct(e["title"], e["link"], e["description"], e["pubDate"], e["updated"], e["created"], e["guid"]).cast(kinds))
+    parsed = F.coalesce(rss, F.transform(found["entry"], atom), F.array().cast(f"array<{kinds}>"))
+    x = feeds.select(*keep, F.posexplode(F.slice(parsed, 1, max_items)).alias("position", "r"))
     r = lambda name: F.col(f"r.{name}")
     about = F.struct(metadata.listing_reference(r("title"), "fda").alias("reference_number"), F.lit("PRESS_RELEASE").alias("document_type"), F.lit(None).cast("string").alias("department"), r("guid").alias("feed_id"), F.lit(None).cast("string").alias("fr_citation"), F.lit(None).cast("array<string>").alias("agencies"))
-    out = x.select(*keep, "position", F.coalesce(r("link"), F.lit("")).alias("url"), F.coalesce(r("title"), F.lit("")).alias("title"), metadata.feed_date(r("pubDate")).alias("published_date"), F.coalesce(r("description"), F.lit("")).alias("summary"), about.cast(ENTRY_METADATA).alias("metadata"))
+    out = x.select(*keep, "position", F.coalesce(r("link"), F.lit("")).alias("url"), F.coalesce(r("title"), F.lit("")).alias("title"), metadata.feed_date(r("date"), r("updated"), r("created")).alias("published_date"), F.coalesce(r("description"), F.lit("")).alias("summary"), about.cast(ENTRY_METADATA).alias("metadata"))
     return out.where(since(F.col("published_date"), cutoff))

@@ -118,3 +118,47 @@ def test_http_source(spark, tmp_path):
         server.shutdown()
     assert got[f"{base}/ok"]["status"] == 200 and bytes(got[f"{base}/ok"]["content"]) == b"body" and got[f"{base}/ok"]["etag"] == "e"
     assert got[f"{base}/no"]["status"] == 404
+
+
+def test_requests_are_fetched_with_their_validators(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from docforge.sources import fetch
+
+    class Answers(BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.headers.get("If-None-Match") == '"a"' or self.headers.get("If-Modified-Since") == "yesterday":
+                self.send_response(304)
+                self.end_headers()
+                return
+            self.send_response(404 if self.path == "/none" else 200)
+            self.send_header("ETag", '"a"')
+            self.end_headers()
+            self.wfile.write(self.path.encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    try:
+        rows = [(f"{base}/x", None, None), (f"{base}/y", '"a"', None), (f"{base}/z", None, "yesterday"), (f"{base}/none", None, None), (f"{base}/private/1", None, None), (None, None, None)]
+        rules = spark.createDataFrame([(f"127.0.0.1:{server.server_port}", "/private", False)], "host string, prefix string, allow boolean")
+        got = {r["url"][len(base) :]: r for r in fetch.fetched(spark.createDataFrame(rows, "url string, etag string, last_modified string"), rules, per_minute=60_000.0, tasks=2).collect()}
+    finally:
+        server.shutdown()
+    assert {k: r["status"] for k, r in got.items()} == {"/x": 200, "/y": 304, "/z": 304, "/none": 404}
+    assert bytes(got["/x"]["content"]) == b"/x" and got["/x"]["etag"] == '"a"' and got["/y"]["from_cache"] and got["/y"]["etag"] == '"a"' and got["/z"]["last_modified"] == "yesterday"
+
+
+def test_feeds_of_both_kinds_and_their_dates(spark):
+    from docforge.sources import listings
+
+    item = "<item><title>T</title><link>https://a.org/1</link>%s</item>"
+    rss = "<rss><channel>" + "".join(item % x for x in ("<pubDate>Mon, 15 Jan 2024 10:00:00 GMT</pubDate>", "<updated>2024-01-16T00:00:00Z</updated>", "<created>2024-01-17T00:00:00Z</created>", "")) + "</channel></rss>"
+    atom = '<feed><entry><title>A</title><link rel="self" href="https://a.org/s"/><link rel="alternate" href="https://a.org/2"/><updated>2024-02-01T00:00:00Z</updated><id>i</id></entry></feed>'
+    df = spark.createDataFrame([(1, rss), (2, atom), (3, "<rss"), (4, None)], "k int, body string")
+    got = [(r["k"], r["url"], None if r["published_date"] is None else r["published_date"].strftime("%m-%d")) for r in listings.entries_from_rss(df, __import__("pyspark").sql.functions.col("body"), keep=("k",)).orderBy("k", "position").collect()]
+    assert got == [(1, "https://a.org/1", "01-15"), (1, "https://a.org/1", "01-16"), (1, "https://a.org/1", "01-17"), (1, "https://a.org/1", None), (2, "https://a.org/2", "02-01")]
