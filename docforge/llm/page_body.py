@@ -1,7 +1,8 @@
 """Problem 1: the main body of a web page, told from menus, notices, side boxes and footers by a minimum cut.
 
-Each line is a node. What the line looks like and how many pages of its site carry a line like it give
-the capacities to the two terminals; lines next to each other, and lines in one element of the page where
+Each line is a node. A classifier of what the line looks like and of how many pages of its site carry a line like it gives
+the capacities to the two terminals, as log odds; it is a logistic regression fitted on a bounded sample of pages that
+say themselves what is main and what is beside it (elements and roles), from stated weights that hold where none do; lines next to each other, and lines in one element of the page where
 its bytes are kept, are joined by smoothness edges. The maximum flow's cut labels the lines.
 
 How often a line occurs is counted over all pages of the site by a pre-aggregated shuffle of 64-bit keys.
@@ -9,11 +10,13 @@ How often a line occurs is counted over all pages of the site by a pre-aggregate
 
 from __future__ import annotations
 
+import math
 import re
 from collections import deque
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,41 +53,89 @@ def lead_key(line: Column) -> Column:
     return F.when(lead != "", F.xxhash64(F.concat(F.lit("lead:"), F.lower(F.trim(lead)))))
 
 
-def costs(lines: list[str], title: str | None, pages: list[int], shares: list[float], leads: list[int]) -> list[int]:
-    """Of each line, its evidence for boilerplate (above 0) or content (below 0), in tenths of a log odds."""
-    out = []
+#: What is known of a line's form, and the evidence for boilerplate (above 0) or content (below 0), in tenths of a log odds,
+#: that the classifier starts from; where pages say of themselves what is main, it is fitted to that.
+KINDS = {"title": -60, "date": -8, "rights": 50, "parted": 50, "table": -30, "common": 40, "common_end": 30, "end": -40, "end_short": -15, "lead": 40, "some": 20}
+#: Pages that the classifier is fitted on, at most; those with the smallest hashes of their ids. Strength of the start.
+MOST_LABELLED, STRENGTH = 1000, 30.0
+#: Bounds of the costs.
+MOST_COST = 60
+
+
+def line_kinds(lines: list[str], title: str | None, pages: list[int], shares: list[float], leads: list[int]) -> list[str | None]:
+    """Of each line what is known of its form; None for blank lines and those that tell nothing."""
+    out: list[str | None] = []
     name = " ".join((title or "").split())
     for i, raw in enumerate(lines):
         s = " ".join(raw.split())
         if not s:
-            out.append(0)
+            out.append(None)
             continue
         ends = _END.search(s) is not None
         counted = any(c.isdigit() for c in s) and not ends  # alike only but for their numbers
         common = pages[i] >= COMMON_PAGES and shares[i] >= (COMMON_COUNTED if counted else COMMON_SHARE)
-        score = 0
+        kind = None
         if len(name) > 8 and (s == name or name.startswith(s + " |")):
-            score = -60
+            kind = "title"
         elif _DATE.match(s):
-            score = -8
+            kind = "date"
         elif "©" in s or "(c)" in s.lower():
-            score = 50
+            kind = "rights"
         elif _PARTED.search(s) and (common or any(p and p in s for p in (name[:20],)) or not ends):
-            score = 50
+            kind = "parted"
         elif _TABLE.search(s) and not common:
-            score = -30
+            kind = "table"
         elif common:
-            score = 40 if not ends else 30
+            kind = "common_end" if ends else "common"
         elif ends:
-            score = -40 if len(s) > 40 else -15
+            kind = "end" if len(s) > 40 else "end_short"
         elif leads[i] >= COMMON_PAGES:
-            score = 40
+            kind = "lead"
         elif pages[i] >= COMMON_PAGES and shares[i] >= COMMON_SHARE / 2 and not counted and s.count(" ") < 3:
-            score = 20
-        out.append(score)
+            kind = "some"
+        out.append(kind)
     return out
 
 
+def line_features(lines: list[str], kinds: list[str | None], pages: list[int], shares: list[float]) -> np.ndarray:
+    """A row for each line: its kind, and how common, long and far down it is, as deviations that are small for most lines."""
+    x = np.zeros((len(lines), len(KINDS) + 3))
+    place = {k: i for i, k in enumerate(KINDS)}
+    for i, (line, kind) in enumerate(zip(lines, kinds)):
+        if kind is not None:
+            x[i, place[kind]] = 1.0
+            x[i, -3:] = min(1.0, shares[i]), math.log1p(len(line.split())) / 4, abs(2 * i / max(1, len(lines) - 1) - 1)
+    return x
+
+
+class LineClassifier:
+    """Logistic regression of a line being boilerplate; its log odds, in tenths, are the capacities to the terminals."""
+
+    def __init__(self, weights: np.ndarray | None = None):
+        start = np.array([*KINDS.values(), 0, 0, 0], dtype=float) / 10
+        self.weights = start if weights is None else weights
+
+    @classmethod
+    def fit(cls, x: np.ndarray, y: np.ndarray) -> LineClassifier:
+        """The most likely weights of labelled lines, given those that it starts from (Newton's method)."""
+        start = cls().weights
+        w = start.copy()
+        for _ in range(40):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            grad = x.T @ (p - y) + STRENGTH * (w - start)
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + STRENGTH * np.eye(len(w)), grad)
+            w -= np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-6:
+                break
+        return cls(w)
+
+    def costs(self, lines: list[str], title: str | None, pages: list[int], shares: list[float], leads: list[int]) -> list[int]:
+        """Of each line, its evidence for boilerplate (above 0) or content (below 0); 0 for lines that tell nothing."""
+        kinds = line_kinds(lines, title, pages, shares, leads)
+        score = np.clip(np.rint(10 * (line_features(lines, kinds, pages, shares) @ self.weights)), -MOST_COST, MOST_COST).astype(int)
+        return [0 if k is None else int(v) or (1 if KINDS[k] > 0 else -1) for k, v in zip(kinds, score)]
+
+
 def is_item(line: str, score: int) -> bool:
     """Whether a line may be an entry of a list: unfinished, without evidence of its own."""
     return score == 0 and bool(line.strip())
@@ -258,10 +309,81 @@ def elements(lines: list[str], headers, data: bytes | None) -> list[int] | None:
     return out
 
 
-def label(text: str, title: str | None, pages: list[int], shares: list[float], leads: list[int], headers=None, data: bytes | None = None) -> list[bool]:
+class Zones(Elements):
+    """The pieces of text of a page with what the page itself says of them: False in its main part, True in parts beside it, else None."""
+
+    MAIN = frozenset("main article".split())
+    BESIDE = frozenset("nav aside footer banner navigation complementary contentinfo search".split())
+    VOID = frozenset("br hr img input link meta area base col embed source track wbr p li td tr th dt dd option".split())
+
+    def __init__(self):
+        super().__init__()
+        self.zones: list[tuple[str, bool | None]] = []
+
+    def handle_starttag(self, tag, attrs):
+        super().handle_starttag(tag, attrs)
+        if tag not in self.VOID:
+            said = {tag, dict(attrs).get("role") or ""}
+            outer = self.zones[-1][1] if self.zones else None
+            self.zones.append((tag, True if said & self.BESIDE else False if said & self.MAIN else outer))
+
+    def handle_endtag(self, tag):
+        super().handle_endtag(tag)
+        for i in range(len(self.zones) - 1, -1, -1):
+            if self.zones[i][0] == tag:
+                del self.zones[i:]
+                break
+
+    def _flush(self) -> None:
+        before = len(self.found)
+        super()._flush()
+        if len(self.found) > before:
+            self.found[-1] = (self.found[-1][0], self.zones[-1][1] if self.zones else None)
+
+
+def zone_labels(lines: list[str], headers, data: bytes) -> list[bool | None]:
+    """For each line what its page says of it; None where it says nothing, or two things of the same line."""
+    page = Zones()
+    page.feed(g.decoded(headers, data)[0])
+    page.close()
+    page._flush()
+    said: dict[str, set] = {}
+    for s, zone in page.found:
+        said.setdefault(s, set()).add(zone)
+    one = lambda x: next(iter(x)) if len(x) == 1 else None
+    return [one(said.get(" ".join(x.split()), {None})) for x in lines]
+
+
+def fitted(ready: DataFrame) -> LineClassifier:
+    """The classifier fitted on the lines of pages (k, title, t, n, pages, leads, headers, data) that say what is main.
+
+    All lines beside the main part are labelled. Sites put share prompts and the like inside it, too, so a line there is
+    labelled content only if it is not of a kind that repeats over pages.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            rows, labels = [], []
+            for r in part.to_pylist():
+                lines, shares = r["t"].split("\n"), [x / max(r["n"], 1) for x in r["pages"]]
+                kinds = line_kinds(lines, r["title"], r["pages"], shares, r["leads"])
+                x = line_features(lines, kinds, r["pages"], shares)
+                for i, zone in enumerate(zone_labels(lines, r["headers"], r["data"])):
+                    if kinds[i] is not None and zone is not None and (zone or KINDS[kinds[i]] < 0):
+                        rows.append(x[i].tolist())
+                        labels.append(zone)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.bool_())], ["x", "y"])
+
+    found = ready.mapInArrow(run, "x array<double>, y boolean").collect()
+    if not found:
+        return LineClassifier()
+    return LineClassifier.fit(np.array([r[0] for r in found]), np.array([r[1] for r in found], dtype=float))
+
+
+def label(text: str, title: str | None, pages: list[int], shares: list[float], leads: list[int], headers=None, data: bytes | None = None, model: LineClassifier | None = None) -> list[bool]:
     """For each line whether it is boilerplate; blank lines aren't."""
     lines = text.split("\n")
-    score = costs(lines, title, pages, shares, leads)
+    score = (model or LineClassifier()).costs(lines, title, pages, shares, leads)
     side = cut(score, edges(lines, score, elements(lines, headers, data)))
     return [s and bool(x.strip()) for s, x in zip(side, lines)]
 
@@ -306,7 +428,7 @@ def boilerplate_lines(parsed: DataFrame, raw: DataFrame | None = None, id_col: s
     lines = F.split("t", "\n", -1)
     key = F.transform(lines, lambda x: F.when(F.trim(x) != "", line_key(x)))
     slim = counted.select("k", "site", "counted", key.alias("keys"), F.transform(lines, lead_key).alias("leads")).groupBy("k").agg(F.first("site").alias("site"), F.first("counted").alias("counted"), F.first("keys").alias("keys"), F.first("leads").alias("leads"))
-    known = line_counts(materialise(slim, "keys"))
+    known = materialise(line_counts(materialise(slim, "keys")), "counts")
     whole = pages.select("k", "title", "t").dropDuplicates(["k"]).join(known, "k")
     if raw is not None:
         kept = raw.where((F.col("http_status") == 200) & (F.length("content_bytes") > 0)).select(raw_doc_id(F.col("url"), F.col("fetched_at")).alias("k"), "headers", F.col("content_bytes").alias("data")).dropDuplicates(["k"])
@@ -316,12 +438,21 @@ def boilerplate_lines(parsed: DataFrame, raw: DataFrame | None = None, id_col: s
     counts = lambda keys: F.transform(keys, lambda x: F.coalesce(F.when(x.isNotNull(), F.try_element_at("alike", x)), F.lit(0)).cast("int"))
     ready = whole.select("k", "title", "t", "n", counts(F.col("keys")).alias("pages"), counts(F.col("leads")).alias("leads"), "headers", "data")
 
+    model = LineClassifier()
+    if raw is not None:
+        says = kept.where(F.col("data").cast("string").rlike(r"(?i)<(main|article)[\s>]|role\s*=\s*[\"']?main")).select("k").join(pages.select("k").distinct(), "k", "left_semi")
+        edge = says.select(F.xxhash64("k").alias("h")).orderBy("h").limit(MOST_LABELLED).agg(F.max("h")).first()[0]
+        if edge is not None:
+            few = F.xxhash64("k") <= edge
+            own = pages.where(few).select("k", "title", "t").dropDuplicates(["k"]).join(known.where(few), "k").join(kept.where(few).join(says.where(few), "k", "left_semi"), "k")
+            model = fitted(own.select("k", "title", "t", "n", counts(F.col("keys")).alias("pages"), counts(F.col("leads")).alias("leads"), "headers", "data"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "t"):
             ids, at = [], []
             for r in part.to_pylist():
                 n = max(r["n"], 1)
-                side = label(r["t"], r["title"], r["pages"], [x / n for x in r["pages"]], r["leads"], r["headers"], r["data"])
+                side = label(r["t"], r["title"], r["pages"], [x / n for x in r["pages"]], r["leads"], r["headers"], r["data"], model)
                 hits = [i + 1 for i, s in enumerate(side) if s]
                 ids += [r["k"]] * len(hits)
                 at += hits

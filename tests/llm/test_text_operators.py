@@ -261,6 +261,26 @@ def test_main_body(spark):
     assert page_body.boilerplate_lines(df.limit(0)).count() == 0
 
 
+def test_line_classifier_follows_labels():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    kinds = [random.choice(["common", "end", "lead"]) for _ in range(3000)]
+    x = page_body.line_features(["a line of some words"] * 3000, kinds, [3] * 3000, [0.1] * 3000)
+    y = np.array([{"common": 0.9, "end": 0.05, "lead": 0.1}[k] for k in kinds]) > rng.random(3000)
+    model = page_body.LineClassifier.fit(x, y.astype(float))
+    place = list(page_body.KINDS)
+    logit = {k: float(np.mean(x[[q == k for q in kinds]] @ model.weights)) for k in ("common", "end", "lead")}
+    assert logit["common"] > 1.5 and logit["end"] < -2 and logit["lead"] < 0  # against its start of 4
+    assert model.weights[place.index("rights")] == 5.0  # no label, no change
+    assert page_body.LineClassifier().costs(["© A", "", "word"], None, [0] * 3, [0.0] * 3, [0] * 3) == [50, 0, 0]
+
+
+def test_zones_of_a_page():
+    data = b'<body><nav>Menu</nav><div role="main"><p>Text<br>more</p><ul><li>item</ul></div><div role="contentinfo">End</div><p>Both</p><nav>Both</nav></body>'
+    assert page_body.zone_labels(["Menu", "Text more", "Text", "more", "item", "End", "Both", "none"], {}, data) == [True, None, False, False, False, True, None, None]
+
+
 def test_cut_is_minimal():
     random.seed(5)
     for _ in range(200):
