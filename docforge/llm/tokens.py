@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -31,7 +32,7 @@ CACHE_ENTRIES = 400_000
 SCAN_BYTES = 40
 
 LETTER, NUMBER, OTHER, SPACE, EDGE = range(5)
-_workers: dict[str, "ByteBPE"] = {}
+_workers: dict = {}
 _classes: list[np.ndarray] = []
 
 
@@ -226,6 +227,39 @@ def token_counts(df: DataFrame, id_col: str, text_col: str, tokenizers: list[str
     return picked.mapInArrow(run, f"k {kind}, " + ", ".join(f"`n_{t}` bigint" for t in tokenizers)).withColumnRenamed("k", id_col)
 
 
+class PieceCounter:
+    """Token counts of a piece model. Pieces don't reach over the mark of a word's start, so counts of words are kept and added up."""
+
+    MARK = "\u2581"
+    _UNITS = re.compile(f"{MARK}+[^{MARK}]*")
+
+    def __init__(self, model):
+        self.model = model
+        self.cache: dict[str, int] = {}
+        # a model that puts marks elsewhere, or joins words, is asked for whole texts
+        self.by_word = model.normalize("a b") == f"{self.MARK}a{self.MARK}b" and not any(self.MARK in model.id_to_piece(i)[1:].strip(self.MARK) for i in range(model.get_piece_size()))
+
+    def _count(self, unit: str) -> int:
+        """The tokens of a unit without its first mark, which the model puts there itself."""
+        n = len(self.model.encode(unit)) if unit else 1
+        if len(unit) <= 64:
+            self.cache[unit] = n
+        return n
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        if not self.by_word:
+            return np.array([len(x) for x in self.model.encode([t or "" for t in texts], num_threads=1)], dtype=np.int64)
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
+        get, count, out = self.cache.get, self._count, np.zeros(len(texts), dtype=np.int64)
+        for i, t in enumerate(texts):
+            if t:
+                s = self.model.normalize(t)
+                units = s.split(self.MARK)[1:] if self.MARK * 2 not in s and s[:1] == self.MARK else [u[1:] for u in self._UNITS.findall(s)]
+                out[i] = sum([get(u) or count(u) for u in units])
+        return out
+
+
 def counter(tokenizer: str, tokenizer_dir: str):
     """A function from a list of texts to their token counts."""
     if os.path.exists(os.path.join(tokenizer_dir, f"{tokenizer}.tiktoken")):
@@ -234,8 +268,9 @@ def counter(tokenizer: str, tokenizer_dir: str):
     if os.path.exists(model := os.path.join(tokenizer_dir, f"{tokenizer}.model")):
         import sentencepiece
 
-        pieces = sentencepiece.SentencePieceProcessor(model_file=model)
-        return lambda texts: np.array([len(x) for x in pieces.encode([t or "" for t in texts], num_threads=1)], dtype=np.int64)
+        if model not in _workers:
+            _workers[model] = PieceCounter(sentencepiece.SentencePieceProcessor(model_file=model))
+        return _workers[model]
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(os.path.join(tokenizer_dir, f"{tokenizer}.json"))

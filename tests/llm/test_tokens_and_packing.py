@@ -146,3 +146,14 @@ def test_fill(spark):
     assert packing.fill(docs.limit(0), specs).count() == 0 and packing.fill(docs, specs.limit(0)).count() == 0
     u = {r["spec_id"]: r for r in packing.usage(packing.fill(docs, specs), specs).collect()}
     assert u[2]["containers"] == 1 and 0 < u[2]["filled"] < 1
+
+
+def test_pieces_are_counted_by_word_as_in_whole_texts():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model = sentencepiece.SentencePieceProcessor(model_file="/opt/tokenizers/piece_bpe_32k.model")
+    texts = [None, "", " ", "  ", "\n", "a▁b", "▁▁", "▁x y", "x　y", "a\tb\n\nc", "ﬁn ½a", "①②", "한국어", "<s> </s> <unk>", "a " * 100, "🙂🙂 ok", "\x00a", "  lead", "trail  ", "a\xa0b", "﻿x", "x" * 5000, "a  b   c", "यदि दो विवरण", "Café “naïve”"]
+    got = tokens.PieceCounter(model)(texts)
+    assert got.tolist() == [len(model.encode(t or "")) for t in texts]
+    whole = tokens.PieceCounter(model)
+    whole.by_word = False
+    assert whole(texts).tolist() == got.tolist()
