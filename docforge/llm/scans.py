@@ -1,7 +1,8 @@
 """Problem 5: printed lines, page furniture and misrecognised characters in text from scanned paper.
 
 Words are grouped by a skeleton in which glyphs that recognition confuses are alike; in each group the
-form that is frequent over the whole corpus supports the rare ones that differ from it by one confusion.
+form that is frequent over the whole corpus supports the rare ones that differ from it by one confusion,
+and of several such forms the neighbouring words decide.
 Running headers are lines that are alike once digits are masked, next to page numbers or set apart by
 form. A word broken at a line's end is one if the joined form, not the hyphenated one, is in use.
 Vocabulary and headers are counted over all documents by shuffled aggregates; reflow uses a window over
@@ -196,8 +197,8 @@ def vocabulary(docs: DataFrame, text_col: str = "body_text") -> DataFrame:
     return picked.mapInArrow(run, "word string, skeleton string, n bigint").groupBy("word", "skeleton").agg(F.sum("n").alias("n"))
 
 
-def misread(vocab: DataFrame) -> DataFrame:
-    """(word, right, place) of forms that stand for a frequent one."""
+def readings(vocab: DataFrame) -> DataFrame:
+    """(word, right, most, place) of forms that may stand for a frequent one, with how often that is used and where they differ."""
     used = vocab.where(F.col("n") >= SUPPORT).select("skeleton", F.col("word").alias("right"), F.col("n").alias("most"))
     pairs = vocab.join(used, "skeleton").where((F.col("word") != F.col("right")) & (F.col("n") <= RARE + F.col("most") * RARE_SHARE)).select("word", "right", "most")
 
@@ -208,10 +209,85 @@ def misread(vocab: DataFrame) -> DataFrame:
             keep = [i for i, k in enumerate(at) if k >= 0]
             yield pa.RecordBatch.from_arrays([pa.array([w[i] for i in keep], pa.string()), pa.array([r[i] for i in keep], pa.string()), b.column("most").take(pa.array(keep, pa.int64())), pa.array([at[i] for i in keep], pa.int32())], ["word", "right", "most", "place"])
 
-    near = pairs.mapInArrow(run, "word string, right string, most bigint, place int")
+    return pairs.mapInArrow(run, "word string, right string, most bigint, place int")
+
+
+def misread(near: DataFrame) -> DataFrame:
+    """(word, right, place): of several readings the most frequent one, where no neighbours are looked at."""
     return near.groupBy("word").agg(F.max_by(F.struct("right", "place"), F.struct("most", "right")).alias("x")).select("word", "x.right", "x.place")
 
 
+#: Forms whose neighbours are looked for in one pass over the texts; more take several passes.
+MOST_FORMS = 100_000
+
+
+def neighbours(docs: DataFrame, forms: set[str], by_document: bool, id_col: str, text_col: str) -> DataFrame:
+    """(k, form, side, word, n): the words next to ``forms`` on their line, in each document, or in all (k is null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "t"):
+            count: Counter = Counter()
+            for k, text in zip(part.column("k").to_pylist(), part.column("t").to_pylist()):
+                for line in text.split("\n"):
+                    found = words(line)
+                    for i, w in enumerate(found):
+                        if w in forms:
+                            own = k if by_document else None
+                            if i:
+                                count[own, w, -1, found[i - 1]] += 1
+                            if i + 1 < len(found):
+                                count[own, w, 1, found[i + 1]] += 1
+            cols = list(zip(*count)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], part.schema.field("k").type), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.string()), pa.array(list(count.values()), pa.int64())], ["k", "form", "side", "word", "n"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    picked = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
+    return picked.mapInArrow(run, f"k {kind}, form string, side int, word string, n bigint").groupBy("k", "form", "side", "word").agg(F.sum("n").alias("n"))
+
+
+def in_context(docs: DataFrame, near: DataFrame, id_col: str, text_col: str, url_col: str) -> DataFrame | None:
+    """(k, word, right) for forms with several readings: the one that the words next to it in the document support.
+
+    A reading's probability is that of its use, times that of each neighbour beside it over all texts. None if no form
+    has several readings.
+    """
+    several = materialise(near.join(near.groupBy("word").agg(F.count("*").alias("c")).where("c > 1").select("word"), "word", "left_semi"), "several")
+    passes = -(-several.select(F.explode(F.array("word", "right"))).distinct().count() // MOST_FORMS)
+    out = None
+    for n in range(passes):
+        own = several.where(F.pmod(F.xxhash64("word"), F.lit(passes)) == n)
+        forms = own.select("word", "right").distinct().collect()
+        left = neighbours(docs.where(paged(F.col(url_col))), {r["word"] for r in forms}, True, id_col, text_col)
+        right = neighbours(docs, {r["right"] for r in forms}, False, id_col, text_col).select(F.col("form").alias("right"), "side", F.col("word").alias("beside"), F.col("n").alias("together"))
+        x = left.select("k", F.col("form").alias("word"), "side", F.col("word").alias("beside"), "n").join(own, "word").join(right, ["right", "side", "beside"], "left")
+        each = F.col("n") * F.log((F.coalesce("together", F.lit(0)) + 0.1) / F.col("most"))
+        score = x.groupBy("k", "word", "right").agg((F.sum(each) + F.log(F.max("most"))).alias("score"))
+        best = score.groupBy("k", "word").agg(F.max_by("right", F.struct("score", "right")).alias("right"))
+        out = best if out is None else out.unionByName(best)
+    return out
+
+
+def corrected(text: str, fix: dict[str, str]) -> str:
+    """A paragraph with its misread words put right, in the case that they are written in."""
+
+    def one(word: str) -> str:
+        core = word.strip(_STRIP)
+        low = core.lower()
+        right = fix.get(low)
+        if right is None and ("-" in core or "‐" in core):
+            return word.replace(core, "".join(one(x) if x not in "-‐" else x for x in re.split("([-‐])", core) if x), 1)
+        if right is None:
+            return word
+        letters = [c for c in core if c.isalpha()]
+        if len(letters) > 1 and all(c.isupper() for c in letters):
+            right = right.upper()
+        elif core[0].isupper():
+            right = right[0].upper() + right[1:]
+        return word.replace(core, right, 1)
+
+    return "".join(x if i % 2 else one(x) for i, x in enumerate(re.split(r"(\s+|(?<=\w)[–—/’'](?=\w))", text)))
+
+
 def signs(docs: DataFrame, id_col: str, text_col: str, top: set[str]) -> DataFrame:
     """What ``read_page`` finds in each document, without the most frequent words."""
 
@@ -239,12 +315,13 @@ def faults(docs: DataFrame, id_col: str = "doc_id", text_col: str = "body_text",
     return _faults(docs, id_col, text_col, url_col)[0]
 
 
-def _faults(docs: DataFrame, id_col: str, text_col: str, url_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _faults(docs: DataFrame, id_col: str, text_col: str, url_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     vocab = materialise(vocabulary(docs, text_col), "vocabulary")
     most = vocab.agg(F.max("n")).first()[0] or 0
     top = {r[0] for r in vocab.where(F.col("n") > RARE + most * RARE_SHARE).orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word").collect()}
     seen = materialise(signs(docs.where(paged(F.col(url_col))), id_col, text_col, top), "signs")
-    wrong = materialise(misread(vocab), "misread")
+    near_forms = materialise(readings(vocab), "readings")
+    wrong = misread(near_forms)
     near = seen.where("kind = 'near'").select("k", "line_no", "key")
     known = near.groupBy("key").agg(F.count_distinct("k").alias("n")).where(F.col("n") >= LEAST_DOCUMENTS).select("key")
     furniture = seen.where("kind = 'furniture'").select("k", "line_no").union(near.join(known, "key", "left_semi").select("k", "line_no")).distinct()
@@ -267,28 +344,38 @@ def _faults(docs: DataFrame, id_col: str, text_col: str, url_col: str) -> tuple[
     rest = hyphen.select("k", "line_no", F.lit("hyphen").alias("fault")).union(ocr.select("k", "line_no", F.lit("ocr").alias("fault"))).distinct()
     rest = rest.join(furniture, ["k", "line_no"], "left_anti")
     out = furniture.select("k", "line_no", F.lit("furniture").alias("fault")).union(rest).withColumnRenamed("k", id_col)
-    return out, wrong, seen
+    return out, wrong, seen, near_forms
 
 
 def repaired(docs: DataFrame, id_col: str = "doc_id", text_col: str = "body_text", url_col: str = "url") -> DataFrame:
     """(id, paragraph_no, text): the paragraphs of paged documents, without furniture, with words joined and misread ones corrected.
 
-    Paragraphs are told apart by blank or indented lines. A document delivered twice counts once.
+    Paragraphs are told apart by blank or indented lines. Words are put right after the lines are joined, so that broken
+    ones are, too, and keep their case; of several readings the one that the document's neighbouring words support is
+    taken. A document delivered twice counts once.
     """
-    out, wrong, seen = _faults(docs, id_col, text_col, url_col)
+    out, wrong, seen, near = _faults(docs, id_col, text_col, url_col)
     out = materialise(out, "faults")
     pages = docs.where(paged(F.col(url_col)) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).dropDuplicates(["k"])
     lines = pages.select("k", F.posexplode(F.split("t", "\n", -1)).alias("at", "line")).withColumn("line_no", F.col("at") + 1)
     gone = out.where("fault = 'furniture'").select(F.col(id_col).alias("k"), "line_no")
     cut = out.where("fault = 'hyphen'").select(F.col(id_col).alias("k"), "line_no", F.lit(True).alias("cut"))
-    fix = seen.where("kind = 'word'").select("k", "line_no", F.col("key").alias("word")).join(wrong, "word").groupBy("k", "line_no").agg(F.map_from_entries(F.collect_set(F.struct("word", "right"))).alias("fix"))
-    x = lines.join(gone, ["k", "line_no"], "left_anti").join(cut, ["k", "line_no"], "left").join(fix, ["k", "line_no"], "left")
-    token = lambda w: F.regexp_replace(F.lower(w), r"^[^\p{L}\p{N}@]+|[^\p{L}\p{N}@]+$", "")
-    better = F.transform(F.split(F.col("line"), " "), lambda w: F.coalesce(F.replace(w, F.regexp_extract(w, r"[\p{L}\p{N}@]+(?:[-‐][\p{L}\p{N}@]+)*", 0), F.try_element_at("fix", token(w))), w))
-    x = x.withColumn("line", F.when(F.col("fix").isNull(), F.col("line")).otherwise(F.array_join(better, " ")))
+    x = lines.join(gone, ["k", "line_no"], "left_anti").join(cut, ["k", "line_no"], "left")
     by = Window.partitionBy("k").orderBy("line_no")
     starts = (F.trim(F.lag("line").over(by)) == "") | F.col("line").rlike(r"^\s{2,}\S")
     x = x.withColumn("paragraph_no", F.sum(F.when(F.coalesce(starts, F.lit(True)), 1).otherwise(0)).over(by)).where(F.trim("line") != "")
     piece = F.when(F.coalesce(F.col("cut"), F.lit(False)), F.regexp_replace(F.trim("line"), "[-­¬‐]$", "")).otherwise(F.concat(F.trim("line"), F.lit(" ")))
     done = x.withColumn("piece", piece).groupBy("k", "paragraph_no").agg(F.array_sort(F.collect_list(F.struct("line_no", "piece"))).alias("p"))
-    return done.select(F.col("k").alias(id_col), F.col("paragraph_no").cast("int"), F.trim(F.array_join("p.piece", "")).alias("text"))
+    done = done.select("k", F.col("paragraph_no").cast("int"), F.trim(F.array_join("p.piece", "")).alias("text"))
+    used = seen.where("kind IN ('word', 'cut')").select("k", F.col("key").alias("word")).distinct().join(wrong.select("word", "right"), "word")
+    if (better := in_context(docs, near, id_col, text_col, url_col)) is not None:
+        used = used.join(better.withColumnRenamed("right", "__better"), ["k", "word"], "left").select("k", "word", F.coalesce("__better", "right").alias("right"))
+    fix = used.groupBy("k").agg(F.collect_list(F.struct("word", "right")).alias("fix"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [corrected(t, {r["word"]: r["right"] for r in f}) if f else t for t, f in zip(b.column("text").to_pylist(), b.column("fix").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("paragraph_no"), pa.array(texts, pa.string())], ["k", "paragraph_no", "text"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return done.join(fix, "k", "left").mapInArrow(run, f"k {kind}, paragraph_no int, text string").withColumnRenamed("k", id_col)

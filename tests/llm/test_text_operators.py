@@ -310,6 +310,17 @@ def test_scan_faults(spark):
     assert scans.faults(df.limit(0)).count() == 0
 
 
+def test_neighbours_choose_among_readings(spark, monkeypatch):
+    support = "\n".join(["The payment fails at the gate today. A night falls over the town again."] * 400 + ["the payment fails at the gate"] * 200)
+    rows = [("h", "https://a.org/x", support, 1), ("a", "https://a.org/a.pdf", "The payment fa1ls at the gate.", 1), ("b", "https://a.org/b.pdf", "A night fa1ls over the town. Night/Pa1ment and FA1LS, Fa1ls, a n1ght-town.\nThe pay-\nm3nt of the n1gh-\nt", 1)]
+    df = spark.createDataFrame(rows + rows[1:2], "doc_id string, url string, body_text string, word int")
+    want = {"a": "The payment fails at the gate.", "b": "A night falls over the town. Night/Pa1ment and FALLS, Falls, a night-town. The paym3nt of the night"}
+    for most in (100_000, 1):
+        monkeypatch.setattr(scans, "MOST_FORMS", most)
+        assert {r["doc_id"]: r["text"] for r in scans.repaired(df).collect()} == want
+    assert scans.corrected("1n the FA1LS; fa1ls-n1ght", {"1n": "in", "fa1ls": "falls", "n1ght": "night"}) == "in the FALLS; falls-night"
+
+
 @pytest.mark.parametrize("right, good, bad", [(w, g, b) for g, b in scans.CONFUSIONS for w in ("minimal reading", "filing board", "worn clipping") if g in w])
 def test_confusions_share_a_skeleton(right, good, bad):
     wrong = right.replace(good, bad, 1)
