@@ -30,6 +30,9 @@ RARE = 2
 RARE_SHARE = 0.01
 #: So many of the words too frequent to be misread forms are not sent through the join (the result is the same without).
 TOP_WORDS = 1000
+#: Up to so many misread forms are told to the tasks that read pages, and the neighbours of so many are looked for in one
+#: pass over the texts; more are joined, and take several passes.
+MOST_FORMS = 100_000
 #: A line next to page numbers is furniture if its like stands there in so many documents.
 LEAST_DOCUMENTS = 5
 
@@ -217,10 +220,6 @@ def misread(near: DataFrame) -> DataFrame:
     return near.groupBy("word").agg(F.max_by(F.struct("right", "place"), F.struct("most", "right")).alias("x")).select("word", "x.right", "x.place")
 
 
-#: Forms whose neighbours are looked for in one pass over the texts; more take several passes.
-MOST_FORMS = 100_000
-
-
 def neighbours(docs: DataFrame, forms: set[str], by_document: bool, id_col: str, text_col: str) -> DataFrame:
     """(k, form, side, word, n): the words next to ``forms`` on their line, in each document, or in all (k is null)."""
 
@@ -288,14 +287,14 @@ def corrected(text: str, fix: dict[str, str]) -> str:
     return "".join(x if i % 2 else one(x) for i, x in enumerate(re.split(r"(\s+|(?<=\w)[–—/’'](?=\w))", text)))
 
 
-def signs(docs: DataFrame, id_col: str, text_col: str, top: set[str]) -> DataFrame:
-    """What ``read_page`` finds in each document, without the most frequent words."""
+def signs(docs: DataFrame, id_col: str, text_col: str, top: set[str], wanted: set[str] | None = None) -> DataFrame:
+    """What ``read_page`` finds in each document; of words only those wanted, or all but the most frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "t"):
             ids, rows = [], []
             for k, text in zip(part.column("k").to_pylist(), part.column("t").to_pylist()):
-                new = [x for x in read_page(text) if x[1] != "word" or x[2] not in top]
+                new = [x for x in read_page(text) if x[1] != "word" or (x[2] not in top if wanted is None else x[2] in wanted)]
                 ids += [k] * len(new)
                 rows += new
             cols = list(zip(*rows)) or [[]] * 5
@@ -317,11 +316,15 @@ def faults(docs: DataFrame, id_col: str = "doc_id", text_col: str = "body_text",
 
 def _faults(docs: DataFrame, id_col: str, text_col: str, url_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     vocab = materialise(vocabulary(docs, text_col), "vocabulary")
-    most = vocab.agg(F.max("n")).first()[0] or 0
-    top = {r[0] for r in vocab.where(F.col("n") > RARE + most * RARE_SHARE).orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word").collect()}
-    seen = materialise(signs(docs.where(paged(F.col(url_col))), id_col, text_col, top), "signs")
     near_forms = materialise(readings(vocab), "readings")
-    wrong = misread(near_forms)
+    wrong = materialise(misread(near_forms), "misread")
+    # a word that is no misread form shows nothing; few forms are told to the tasks, many are found by the join below
+    wanted = {r["word"] for r in wrong.select("word").collect()} if wrong.count() <= MOST_FORMS else None
+    top: set[str] = set()
+    if wanted is None:
+        most = vocab.agg(F.max("n")).first()[0] or 0
+        top = {r[0] for r in vocab.where(F.col("n") > RARE + most * RARE_SHARE).orderBy(F.desc("n"), "word").limit(TOP_WORDS).select("word").collect()}
+    seen = materialise(signs(docs.where(paged(F.col(url_col))), id_col, text_col, top, wanted), "signs")
     near = seen.where("kind = 'near'").select("k", "line_no", "key")
     known = near.groupBy("key").agg(F.count_distinct("k").alias("n")).where(F.col("n") >= LEAST_DOCUMENTS).select("key")
     furniture = seen.where("kind = 'furniture'").select("k", "line_no").union(near.join(known, "key", "left_semi").select("k", "line_no")).distinct()
