@@ -111,3 +111,86 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str
         return spark.createDataFrame([], f"query_id {kind}, id {kind}, score double, rank int")
     listed = out.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id"))), 1, k).alias("best"))
     return listed.select("query_id", F.posexplode("best").alias("at", "x")).select("query_id", F.col("x.id").alias("id"), (-F.col("x.s")).alias("score"), (F.col("at") + 1).alias("rank"))
+
+
+#: Rows that the centres of an index are fitted on, at most (those with the smallest hashes of their ids), rounds of
+#: fitting, rows a cell holds about, and cells at most. Cells of more rows than a share are split among tasks.
+FITTED_ROWS, ROUNDS, CELL_ROWS, MOST_CELLS, SHARE_ROWS = 20_000, 10, 200, 4096, 50_000
+#: Cells that a query looks into.
+PROBES = 24
+
+
+def unit(rows: list) -> np.ndarray:
+    v = np.array(rows, dtype=np.float64)
+    return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-300)
+
+
+def centres(vectors: DataFrame, id_col: str, vector_col: str, cells: int | None = None) -> np.ndarray:
+    """The centres of an index's cells, by spherical k-means on a bounded sample; an empty table has none."""
+    rows = vectors.where(F.col(vector_col).isNotNull())
+    n = rows.count()
+    sample = [r[0] for r in rows.orderBy(F.xxhash64(id_col)).limit(FITTED_ROWS).select(vector_col).collect()]
+    if not sample:
+        return np.zeros((0, 0))
+    x = unit(sample)
+    c = x[: max(1, min(MOST_CELLS, cells or n // CELL_ROWS, len(x)))].copy()
+    for _ in range(ROUNDS):
+        own = (x @ c.T).argmax(axis=1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, own, x)
+        full = np.bincount(own, minlength=len(c)) > 0
+        c[full] = unit(sums[full])
+    return c
+
+
+def indexed(vectors: DataFrame, model: np.ndarray, id_col: str, vector_col: str, probes: int = 1) -> DataFrame:
+    """(id, vector, cell) of every row: the nearest cells, one for rows that are stored, several for queries. Null vectors have none.
+
+    Stored with ``partitionBy("cell")``, rows are found without reading the cells that no query looks into.
+    """
+    sent = vectors.sparkSession.sparkContext.broadcast(model)
+    rows = vectors.select(id_col, vector_col).where(F.col(vector_col).isNotNull())
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = sent.value
+        for f in frames:
+            if not len(f):
+                continue
+            score = unit(f[vector_col].tolist()) @ c.T
+            most = min(probes, len(c))
+            cell = np.argpartition(-score, most - 1, axis=1)[:, :most]
+            f = f.loc[f.index.repeat(most)].assign(cell=cell.ravel().astype(np.int32))
+            yield f
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rows.columns)
+    return rows.mapInPandas(run, f"{kinds}, cell int") if len(model) else rows.limit(0).withColumn("cell", F.lit(0))
+
+
+def nearest_indexed(stored: DataFrame, queries: DataFrame, model: np.ndarray, id_col: str, vector_col: str, k: int = 10, probes: int = PROBES) -> DataFrame:
+    """(query_id, id, score, rank) as ``nearest``, from the ``probes`` cells nearest to each query: approximate, without a scan for each block of queries.
+
+    ``stored`` is the result of ``indexed`` for all rows. Large cells are split into shares, to each of which their
+    queries go; a share's k best of each query are ranked at the end.
+    """
+    kind = stored.schema[id_col].dataType.simpleString()
+    shares = stored.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(SHARE_ROWS)).cast("int").alias("shares"))
+    rows = stored.join(shares, "cell").withColumn("share", F.pmod(F.xxhash64(id_col), F.col("shares")).cast("int")).drop("shares")
+    asked = indexed(queries, model, id_col, vector_col, probes).join(shares, "cell").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            ids, own, v = left[id_col].to_numpy(), right[id_col].to_numpy(), unit(right[vector_col].tolist())
+            for start in range(0, len(ids), 512):
+                part = ids[start : start + 512]
+                score = unit(left[vector_col].iloc[start : start + 512].tolist()) @ v.T
+                for i, q in enumerate(part):
+                    at = np.flatnonzero(own != q)
+                    if len(at) > k:
+                        at = at[score[i][at] >= np.partition(score[i][at], -k)[-k]]
+                    out += [(q, x, s) for s, x in sorted(((float(score[i][j]), own[j]) for j in at), key=lambda y: (-y[0], y[1]))[:k]]
+        return pd.DataFrame(out, columns=["query_id", "id", "score"]).astype({"score": "float64"})
+
+    found = asked.groupBy("cell", "share").cogroup(rows.groupBy("cell", "share")).applyInPandas(best, f"query_id {kind}, id {kind}, score double")
+    listed = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id"))), 1, k).alias("best"))
+    return listed.select("query_id", F.posexplode("best").alias("at", "x")).select("query_id", F.col("x.id").alias("id"), (-F.col("x.s")).alias("score"), (F.col("at") + 1).alias("rank"))

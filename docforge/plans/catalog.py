@@ -536,6 +536,16 @@ def vector_topk(spark: SparkSession, d: str) -> DataFrame:
     return search.nearest(v, v.where("vec_id % 100 = 0"), "vec_id", "embedding").select("query_id", "id", F.round("score", 6).alias("score"), "rank")
 
 
+@query("SELECT count(*) AS queries, true AS enough FROM embeddings WHERE vec_id % 100 = 0")
+def vector_index_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the index finds at least 0.9 of what the search of all rows does, for the stated query set."""
+    v = table(spark, d, "embeddings").select("vec_id", "embedding")
+    asked, model = v.where("vec_id % 100 = 0"), search.centres(v, "vec_id", "embedding")
+    exact = search.nearest(v, asked, "vec_id", "embedding").select("query_id", "id")
+    found = search.nearest_indexed(search.indexed(v, model, "vec_id", "embedding"), asked, model, "vec_id", "embedding").select("query_id", "id", F.lit(1).alias("hit"))
+    return exact.join(found, ["query_id", "id"], "left").agg(F.count_distinct("query_id").alias("queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("enough"))
+
+
 @query("""WITH q AS (SELECT vec_id AS query_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 100 = 0), s AS (SELECT query_id, v.vec_id AS id, list_cosine_similarity(q.e, v.embedding::DOUBLE[]) AS score FROM q JOIN embeddings v ON v.vec_id <> q.query_id AND v.label = q.label),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s WHERE score >= 0.1) SELECT query_id, id, round(score, 6) AS score, rank::INT AS rank FROM r WHERE rank <= 5""")
 def vector_topk_filtered(spark: SparkSession, d: str) -> DataFrame:
@@ -593,7 +603,7 @@ def stream_seen_urls(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_windowed_counts(spark: SparkSession, d: str) -> DataFrame:
     e = state.read_files(spark, f"{d}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    out = state.run_to_table(state.windowed_counts(e, "ts", ["event_type"]), "complete")
+    out = state.run_to_table(state.windowed_counts(e, "ts", ["event_type"]), "update", ["window_start", "event_type"])
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -608,13 +618,13 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
 @query(_NGRAMS + "SELECT site, ngram, sum(n)::BIGINT AS n FROM c GROUP BY site, ngram")
 def stream_ngram_documents(spark: SparkSession, d: str) -> DataFrame:
     """The n-gram state of each source's documents, over their whole texts."""
-    return state.run_to_table(state.ngram_counts(state.read_files(spark, f"{d}/documents.parquet"), "source", "text"), "complete")
+    return state.run_to_table(state.ngram_counts(state.read_files(spark, f"{d}/documents.parquet"), "source", "text"), "update", ["site", "ngram"])
 
 
 @query("""SELECT url, arg_max(etag, struct_pack(a := fetched_at, b := coalesce(etag, ''), c := coalesce(last_modified, ''))) AS etag FROM raw_documents WHERE etag IS NOT NULL GROUP BY url""")
 def stream_validators(spark: SparkSession, d: str) -> DataFrame:
     s = state.read_files(spark, f"{d}/raw_documents.parquet").select("url", "fetched_at", "etag", "last_modified").where("etag IS NOT NULL")
-    return state.run_to_table(state.latest_validators(s), "complete").select("url", "etag")
+    return state.run_to_table(state.latest_validators(s), "update", ["url"]).select("url", "etag")
 
 
 @query()

@@ -231,3 +231,25 @@ def test_all_documents_are_normalized(spark, tmp_path):
     want = {(k, "Untitled" if k == "b" else "T", "x.org", t, len(t), len(t.split()), hashlib.sha256(t.encode()).hexdigest()) for k, t in clean.items()}
     assert len(got) == len(want) and {(r["doc_id"], r["title"], r["site_key"], r["clean_text"], r["char_count"], r["word_count"], r["content_hash"]) for r in got} == want
     assert {r["doc_id"]: r["language"] for r in got} == {"a": "en", "b": "de", "c": "de", "d": "de", "e": "ru", "f": "en", "g": "en"}
+
+
+def test_vector_index_against_a_search_of_all(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    heads = rng.normal(size=(60, 16))
+    v = heads[rng.integers(0, 60, 6000)] + 0.4 * rng.normal(size=(6000, 16))
+    v[:2000] = heads[0] + 0.3 * rng.normal(size=(2000, 16))  # a third of all rows in one place
+    rows = [(i, [float(x) for x in v[i]], i) for i in range(6000)] + [(9000, None, 0)]
+    df = spark.createDataFrame(rows, "id int, v array<float>, cell int").repartition(4)
+    monkeypatch.setattr(search, "SHARE_ROWS", 300)
+    asked = df.where("id % 100 = 0")
+    model = search.centres(df, "id", "v", 40)
+    stored = search.indexed(df, model, "id", "v")
+    assert model.shape == (40, 16) and stored.count() == 6000
+    exact = {(r["query_id"], r["id"]) for r in search.nearest(df, asked, "id", "v").collect()}
+    got = search.nearest_indexed(stored, asked, model, "id", "v", probes=8).collect()
+    found = {(r["query_id"], r["id"]) for r in got}
+    print("recall", len(found & exact) / len(exact))
+    assert len(found & exact) >= 0.9 * len(exact) and len(got) == 600 and all(q != i for q, i in found)
+    assert search.centres(df.limit(0), "id", "v").shape == (0, 0) and search.indexed(df.limit(0), np.zeros((0, 0)), "id", "v").count() == 0

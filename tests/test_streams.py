@@ -54,3 +54,27 @@ def test_ngram_state_of_documents(spark, tmp_path):
     got = {tuple(r) for r in catalog.queries()["stream_ngram_documents"](spark, str(tmp_path)).select("site", "ngram", "n").collect()}
     want = {tuple(r) for r in ngrams.totals(docs, "source", "text").select("site", "ngram", "n").collect()}
     assert {x for x in got if x[0]} == {x for x in want if x[0]} and ("a", "abcd", 2) in got and ("b", "für ", 100) in got
+
+
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
+    path, kind = str(tmp_path / "in"), "site string, text string"
+    put = lambda rows: spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(path)
+    run = lambda mode, keys, name: {tuple(r) for r in state.run_to_table(state.ngram_counts(state.read_files(spark, path), "site", "text"), mode, keys, str(tmp_path / name)).collect()}
+    put([("a", "abcde"), (None, "abcd")])
+    assert run("update", ["site", "ngram"], "t") == {("a", "abcd", 1), ("a", "bcde", 1), (None, "abcd", 1)}
+    put([("a", "abcd")])
+    assert run("update", ["site", "ngram"], "t") == {("a", "abcd", 2), ("a", "bcde", 1), (None, "abcd", 1)}
+    assert run("update", ["site", "ngram"], "t") == {("a", "abcd", 2), ("a", "bcde", 1), (None, "abcd", 1)}  # nothing new
+    assert run("complete", None, "anew") == {("a", "abcd", 2), ("a", "bcde", 1), (None, "abcd", 1)}
+    with pytest.raises(ValueError):
+        run("update", None, "u")
+
+
+def test_bucket_jitter_and_timeout(spark, tmp_path):
+    s = _files(spark, tmp_path, [[("h", T)] * 8], "host string, at timestamp")
+    got = sorted((r["granted_at"] is None, round((r["granted_at"] or 0) - r["requested_at"], 3)) for r in state.run_to_table(state.token_bucket(s, "host", "at", jitter=0.5, timeout=5.0)).collect())
+    waits = [w for none, w in got if not none]
+    assert len(waits) == 7 and all(0 <= w <= 0.5 for w in waits[:5]) and 2 <= waits[5] <= 2.5 and 4 <= waits[6] <= 4.5
+    for bad in ((30, 5, -1), (30, 5, 0, 0)):
+        with pytest.raises(ValueError):
+            state.check_bucket(*bad)
