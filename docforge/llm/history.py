@@ -10,9 +10,10 @@ Only chunks that decide are looked up: of each text the rarest ones, until what
 coverage alone (prefix filtering). Chunks that stand in a large part of all texts come last in that order, as
 counted over all that is accepted with the batch, and no pair that reaches the coverage is missed by it.
 
-Of the history a batch costs one narrow pass over the kept numbers: no text is read again, and only rows that share
-a deciding chunk with the batch (a bit filter of a bounded size tells) leave their task. Exact copies are one class;
-a task keeps the chunks of a class once, so that a hot group of copies is no hot key.
+Of the history a batch costs one narrow pass over the kept numbers, in which only rows that share a deciding chunk with
+the batch (a bit filter of a bounded size tells) leave their task, and for the exact check a scan of the records for
+the texts of the pairs left: one text for each class, told by a bit filter of its id; no other text is looked at.
+Exact copies are one class; a task keeps the chunks of a class once, so that a hot group of copies is no hot key.
 """
 
 from __future__ import annotations
@@ -206,9 +207,7 @@ def candidates(spark: SparkSession, path: str, batch: int) -> DataFrame:
     often = as_array(counters, counters_of(spark, path), np.uint32, np.add)
     frequency = spark.sparkContext.broadcast((often, float(often.sum(dtype=np.float64))))
     fresh = materialise(deciding(table.where(F.col("batch") == batch), frequency), "fresh")
-    size = 1 << min(MOST_BITS, max(LEAST_BITS, (16 * fresh.count()).bit_length()))
-
-    wanted = filled(fresh.select("chunk"), size)
+    wanted = filled(fresh.select("chunk"), filter_size(fresh.count()))
     old = deciding(table.where(F.col("batch") < batch), frequency, wanted)
     # one side is the batch: pairs of two old texts are never made
     names = ["cls", "shingles", "total", "left_out", "edge"]
@@ -228,8 +227,12 @@ def candidates(spark: SparkSession, path: str, batch: int) -> DataFrame:
 
 def class_filter(pairs: DataFrame) -> np.ndarray:
     """A bit filter of the classes in pairs."""
-    size = 1 << min(MOST_BITS, max(LEAST_BITS, (32 * pairs.count()).bit_length()))
-    return filled(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), size)
+    return filled(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), filter_size(2 * pairs.count()))
+
+
+def filter_size(keys: int) -> int:
+    """Bits of a filter for so many numbers, within its bounds."""
+    return 1 << min(MOST_BITS, max(LEAST_BITS, (16 * keys).bit_length()))
 
 
 def filled(keys: DataFrame, size: int) -> np.ndarray:
@@ -249,52 +252,49 @@ def inside(wanted: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def signatures(table: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """(cls, shingles, signature) of the classes that the filter has, each once."""
+    """(cls, k, shingles, signature) of the classes that the filter has, each once, with one record of it."""
     sent = table.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             yield part.filter(pa.array(inside(sent.value, part.column("cls").to_numpy(zero_copy_only=False).view(np.uint64))))
 
-    rows = table.where(F.size("signature") > 0).select("cls", "shingles", "signature")
+    rows = table.where(F.size("signature") > 0).select("cls", "k", "shingles", "signature")
     return rows.mapInArrow(run, rows.schema).dropDuplicates(["cls"])
 
 
-def shingle_sets(records: DataFrame, text_col: str, wanted: np.ndarray, size: int = c.SHINGLE) -> DataFrame:
-    """(cls, shingles): the distinct hashes of the runs of ``size`` words of the texts whose class the bit filter has."""
+def shingle_sets(records: DataFrame, id_col: str, text_col: str, wanted: np.ndarray, size: int = c.SHINGLE) -> DataFrame:
+    """(cls, shingles): the distinct hashes of the runs of ``size`` words of the texts whose id the bit filter has."""
     sent = records.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for part in slices(batches, "t"):
-            texts = part.column("t").to_pylist()
-            cls = c.Words(texts).whole()
-            rows = []
-            for i in np.flatnonzero(inside(sent.value, cls)):
-                if (h := int(cls[i])) not in seen:
-                    seen.add(h)
-                    rows.append(i)
-            words = c.Words([texts[i] for i in rows])
-            key, start = words.runs(size)
-            owner, key = c.unique_in(words.owner[start], key)
-            offsets = np.searchsorted(owner, np.arange(len(rows) + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(cls[rows].view(np.int64)), list_array(offsets, key.view(np.int64), pa.int64())], ["cls", "shingles"])
+        for batch in batches:
+            asked = batch.filter(pa.array(inside(sent.value, batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64))))
+            for part in slices(iter([asked]), "t"):
+                words = c.Words(part.column("t").to_pylist())
+                key, start = words.runs(size)
+                owner, key = c.unique_in(words.owner[start], key)
+                offsets = np.searchsorted(owner, np.arange(part.num_rows + 1))
+                yield pa.RecordBatch.from_arrays([pa.array(words.whole().view(np.int64)), list_array(offsets, key.view(np.int64), pa.int64())], ["cls", "shingles"])
 
-    return records.select(F.col(text_col).alias("t")).where(F.col("t").isNotNull()).mapInArrow(run, "cls bigint, shingles array<bigint>").dropDuplicates(["cls"])
+    picked = records.select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
+    return picked.mapInArrow(run, "cls bigint, shingles array<bigint>").dropDuplicates(["cls"])
 
 
-def similar_classes(pairs: DataFrame, table: DataFrame, records: DataFrame, text_col: str, least: float) -> DataFrame:
+def similar_classes(pairs: DataFrame, table: DataFrame, records: DataFrame, id_col: str, text_col: str, least: float) -> DataFrame:
     """The candidate pairs of classes whose Jaccard similarity is at least ``least``.
 
     A shingle whose bit the other text's signature doesn't have isn't in that text. So signatures bound what two texts
     share from above, and only texts of pairs that can reach the similarity are compared as a whole.
     """
-    known = signatures(table, class_filter(pairs))
+    known = materialise(signatures(table, class_filter(pairs)), "signatures")
     both = pairs.join(known.select(F.col("cls").alias("a"), F.col("shingles").alias("na"), F.col("signature").alias("sa")), "a").join(known.select(F.col("cls").alias("b"), F.col("shingles").alias("nb"), F.col("signature").alias("sb")), "b")
     missing = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, n: s + n)
     most = F.least(F.col("na") - missing("sa", "sb"), F.col("nb") - missing("sb", "sa"))
     near = materialise(both.where(most * (1 + least) >= (F.col("na") + F.col("nb")) * least - 1e-6).select("a", "b"), "near")
-    sets = materialise(shingle_sets(records, text_col, class_filter(near)), "shingles")
+    needed = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    ids = known.join(needed, "cls", "left_semi").select(F.xxhash64("k").alias("h"))
+    sets = materialise(shingle_sets(records, id_col, text_col, filled(ids, filter_size(2 * near.count()))), "shingles")
     both = near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.withColumn("n", common).where(F.col("n") >= least * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
@@ -341,7 +341,7 @@ def near_duplicates(records: DataFrame, id_col: str = "doc_id", text_col: str =
         pairs.append(candidates(spark, path, n))
     who = members(spark, path)
     pairs = reduce(DataFrame.unionByName, pairs).distinct() if pairs else spark.createDataFrame([], "a bigint, b bigint")
-    close = materialise(similar_classes(pairs, spark.read.parquet(f"{path}/chunks"), slim, "t", least), "close")
+    close = materialise(similar_classes(pairs, spark.read.parquet(f"{path}/chunks"), slim, "k", "t", least), "close")
     return similar_records(close, who).select(F.col("ka").alias(f"{id_col}_a"), F.col("kb").alias(f"{id_col}_b"))
 
 
@@ -354,6 +354,6 @@ def new_batch(records: DataFrame, path: str, new: DataFrame, batch: int, id_col:
     spark = new.sparkSession
     accept(new, path, batch, id_col, text_col)
     pairs = candidates(spark, path, batch)
-    texts = records.select(F.col(text_col).alias("t")).unionByName(new.select(F.col(text_col).alias("t")))
-    close = materialise(similar_classes(pairs, spark.read.parquet(f"{path}/chunks"), texts, "t", least), "close")
+    texts = records.select(id_col, text_col).unionByName(new.select(id_col, text_col))
+    close = materialise(similar_classes(pairs, spark.read.parquet(f"{path}/chunks"), texts, id_col, text_col, least), "close")
     return similar_records(close, members(spark, path).where(F.col("batch") <= batch), batch - 1).select(F.col("ka").alias(f"{id_col}_a"), F.col("kb").alias(f"{id_col}_b"))
