@@ -21,8 +21,8 @@ from docforge.io import materialise
 SIZE, LEAST, LEAST_CHARS = 4, 3, 50
 #: Documents of one bucket over all sites, about.
 BUCKET_DOCUMENTS = 4096
-#: Stretches that a site's documents are cut into for running sums.
-PARTS = 16
+#: Stretches that documents are cut into for running sums, at least and at most, and rows of a stretch, about.
+PARTS, MOST_PARTS, PART_ROWS = 16, 2048, 2_000_000
 
 
 def ngrams(df: DataFrame, site_col: str, id_col: str, text_col: str, size: int = SIZE) -> DataFrame:
@@ -80,18 +80,19 @@ def site_stats(counts: DataFrame, least: int = LEAST) -> DataFrame:
     return counts.groupBy("site").agg(F.count("*").alias("ngrams"), F.count_if(F.col("n") >= least).alias("confirmed"))
 
 
-def running(counts: DataFrame, order_col: str = "id", parts: int = PARTS) -> DataFrame:
+def running(counts: DataFrame, order_col: str = "id", parts: int | None = None) -> DataFrame:
     """(site, id, ngram, n, before): occurrences in the site's documents before this one, in the order of ``order_col``.
 
-    A number as order is cut at approximate quantiles into ``parts`` stretches: sums of whole stretches come
+    A number as order is cut at approximate quantiles into ``parts`` stretches, by default as many as the rows need: sums of whole stretches come
     from a window over at most ``parts`` rows, the rest from one within the stretch, so that no task sees
     all documents of a hot site's common n-gram. Any other order is one stretch.
     """
     key = ["site", "ngram"]
     numeric = isinstance(counts.schema[order_col].dataType, NumericType)
-    if numeric and parts > 1:
+    if numeric and parts != 1:
         counts = materialise(counts, "ngrams")  # read three times below
-    bounds = sorted(set(counts.approxQuantile(order_col, [i / parts for i in range(1, parts)], 0.01))) if numeric and parts > 1 else []
+        parts = parts or min(MOST_PARTS, max(PARTS, counts.count() // PART_ROWS))
+    bounds = sorted(set(counts.approxQuantile(order_col, [i / parts for i in range(1, parts)], min(0.01, 0.25 / parts)))) if numeric and parts != 1 else []
     inside = Window.partitionBy(*key, "__p").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
     if not bounds:
